@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# Integer text. Checked before any cast: a failing cast costs far more than the check.
+INTEGER = r"^\s*[+-]?\d+\s*$"
 # Plain decimal text, with or without an exponent.
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # A calendar day, alone or followed by a time of day and a zone.
@@ -35,8 +37,8 @@ def street_direction(c: Column | str) -> Column:
 def whole_number(c: Column | str, kind: str = "int") -> Column:
     """Integer text as it is; decimal or exponent text rounded half away from zero."""
     c = col(c)
-    rounded = F.when(c.rlike(NUMBER), F.round(c.try_cast("decimal(38,18)"), 0).try_cast(kind))
-    return F.coalesce(c.try_cast(kind), rounded)
+    rounded = F.round(c.try_cast("decimal(38,18)"), 0).try_cast(kind)
+    return F.when(c.rlike(INTEGER), c.try_cast(kind)).when(c.rlike(NUMBER), rounded)
 
 
 def day(c: Column | str) -> Column:

@@ -39,30 +39,33 @@ def key_digest(keys: list[str]) -> Column:
 def hot_keys(df: DataFrame, keys: dict[str, list[str]]) -> dict[str, list[int]]:
     """For each named key, the digests that hold more than half a partition's fair share.
 
-    One pass over the key columns with a frequent-items sketch per key and no shuffle of
-    rows. Sketches are merged in two steps, so no task merges those of all map tasks, and at
-    most ``MOST_HOT_KEYS`` numbers per key reach the driver.
+    One pass over the key columns without a shuffle of rows: a frequent-items sketch per key
+    and group of map tasks, whose few entries are then added up. At most ``MOST_HOT_KEYS``
+    numbers per key reach the driver.
     """
-    digests = df.select(*[key_digest(columns).alias(name) for name, columns in keys.items()])
-    partial = (
-        digests.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)))
-        .groupBy("_group")
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[F.expr(f"approx_top_k_accumulate({name}, {SKETCH_ITEMS})").alias(name) for name in keys],
-        )
+    digests = df.select(
+        F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"),
+        *[key_digest(columns).alias(name) for name, columns in keys.items()],
+    )
+    sketches = digests.groupBy("_group").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.expr(f"approx_top_k({name}, {MOST_HOT_KEYS}, {SKETCH_ITEMS})").alias(name) for name in keys],
     )
-    merged = partial.agg(
-        F.sum("_rows").alias("_rows"),
-        *[F.expr(f"approx_top_k_combine({name})").alias(name) for name in keys],
+
+    def entries(name: str) -> Column:
+        return F.transform(name, lambda e: F.struct(F.lit(name).alias("name"), e["item"].alias("item"), e["count"].alias("n")))
+
+    total = F.array(F.struct(F.lit("_rows").alias("name"), F.lit(0).cast("bigint").alias("item"), F.col("_rows").alias("n")))
+    top = (
+        sketches.select(F.explode(F.concat(total, *[entries(name) for name in keys])).alias("e"))
+        .groupBy("e.name", "e.item").agg(F.sum("e.n").alias("n"))
+        .orderBy(F.desc("n")).limit(MOST_HOT_KEYS * len(keys) + 1)
+        .collect()
     )
-    tops = merged.select(
-        "_rows",
-        *[F.expr(f"approx_top_k_estimate({name}, {MOST_HOT_KEYS})").alias(name) for name in keys],
-    ).first()
-    share = (tops["_rows"] or 0) / (2 * shuffle_width(df.sparkSession))
+    rows = sum(t["n"] for t in top if t["name"] == "_rows")
+    share = rows / (2 * shuffle_width(df.sparkSession))
     return {
-        name: sorted(i["item"] for i in tops[name] or [] if i["item"] is not None and i["count"] > share)
+        name: sorted(t["item"] for t in top if t["name"] == name and t["item"] is not None and t["n"] > share)
         for name in keys
     }
 

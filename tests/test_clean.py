@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from lotwise.functions import clean
+
+NUMBERS = [
+    "1.6", "1e1", "+5", " 2 ", "2.0", ".5", "-.5", "1.", "-1.5", "1.5", "2.5", "0.5", "15e-1", "1e", "e1",
+    "1.5e1", "١", " ", "", "\t3\n", "3 4", "99999999999", "2147483647.4", "2147483647.5", "-0", "1e400",
+    "1E2", "1e-1", "5e-1", "12.", ".", "+", "-", "+.5e1", "00012", "9" * 40, "NaN", "inf", "true", "2,000",
+    "--1", "1e+2", "1 e2", "1e2.5", "n/a", None,
+]
+DAYS = [
+    "2024-01-05", "2024", "2024-01", "2024/01/05", "20240105", "2024-01-05abc", "2024-01-05T10:00:00",
+    "2024-01-05 10:00", "2024-1-5", " 2024-01-05 ", "2024-13-01", "2024-02-30", "05/01/2024", "2024-01-05T",
+    "2024-01-05 xyz", "2024 01 05", "2024-01/05", "0024-01-05", "2024-01-05T25:00", "2024-01-05Z",
+    "2024-01-05T00:00:00Z", "2024-01-05T00:00:00.000", "2024-001-05", "2024-01-005", "+2024-01-05",
+    "2024-01-05,", "pending", "", None,
+]
+
+
+def evaluate(spark, values, column):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    return [r[1] for r in df.select("i", column.alias("x")).orderBy("i").collect()]
+
+
+@pytest.mark.parametrize(("ours", "theirs"), [("int", "integer"), ("bigint", "bigint")])
+def test_whole_numbers_read_as_a_lenient_cast_reads_them(spark, ours, theirs):
+    want = [duckdb.execute(f"SELECT try_cast(? AS {theirs})", [v]).fetchone()[0] for v in NUMBERS]
+    assert dict(zip(NUMBERS, evaluate(spark, NUMBERS, clean.whole_number("s", ours)))) == dict(zip(NUMBERS, want))
+
+
+def test_days(spark):
+    want = [duckdb.execute("SELECT try_cast(? AS date)", [v]).fetchone()[0] for v in DAYS]
+    assert dict(zip(DAYS, evaluate(spark, DAYS, clean.day("s")))) == dict(zip(DAYS, want))
+
+
+def test_moments(spark):
+    values = ["3000-01-01T00:00:00", "2024-01-05", "2024-01-05 10:30", "open", "", None]
+    got = evaluate(spark, values, clean.moment("s").cast("string"))
+    assert got == ["3000-01-01 00:00:00", "2024-01-05 00:00:00", "2024-01-05 10:30:00", None, None, None]
+
+
+def test_directions(spark):
+    values = [None, "", "  ", "none", " None ", " w", "E", "North"]
+    assert evaluate(spark, values, clean.street_direction("s")) == ["", "", "", "", "", "W", "E", "NORTH"]
+
+
+def test_street_text(spark):
+    assert evaluate(spark, [" king ", None, "Île"], clean.street_text("s")) == ["KING", None, "ÎLE"]
+    assert evaluate(spark, [" 44 A", None], clean.street_number("s")) == ["44 A", None]
+
+
+def test_digest_ignores_outer_spaces_only(spark):
+    got = evaluate(spark, ["text", " text ", "text\n", None], clean.text_digest("s"))
+    assert got[0] == got[1] == duckdb.execute("SELECT md5('text')").fetchone()[0]
+    assert got[2] not in (None, got[0])
+    assert got[3] is None
+
+
+def test_has_text(spark):
+    assert evaluate(spark, ["a", " ", "", None], F.col("s").isNotNull() & clean.has_text("s")) == [
+        True, False, False, False,
+    ]
