@@ -8,6 +8,7 @@ supplier and the wards themselves are made from suppliers.
 from __future__ import annotations
 
 import re
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -139,14 +140,31 @@ def view_ctes() -> list[str]:
     return [f"{name} AS ({re.sub(r'@(\w+)', r'\1', text)})" for name, text in VIEWS.items()]
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    return RawTables(
-        permits=filed_since(view(spark, sf_dir, "fx_permits"), MIN_DATE),
-        address_points=view(spark, sf_dir, "fx_address_points"),
-        centreline=view(spark, sf_dir, "fx_centreline"),
-        city_wards=view(spark, sf_dir, "fx_city_wards"),
-        labels=view(spark, sf_dir, "fx_scope_cache"),
-    )
+class ViewTables(RawTables):
+    """The views as raw tables, each made when a query first asks for it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._make = partial(view, spark, sf_dir)
+
+    @cached_property
+    def permits(self) -> DataFrame:
+        return filed_since(self._make("fx_permits"), MIN_DATE)
+
+    @cached_property
+    def address_points(self) -> DataFrame:
+        return self._make("fx_address_points")
+
+    @cached_property
+    def centreline(self) -> DataFrame:
+        return self._make("fx_centreline")
+
+    @cached_property
+    def city_wards(self) -> DataFrame:
+        return self._make("fx_city_wards")
+
+    @cached_property
+    def labels(self) -> DataFrame:
+        return self._make("fx_scope_cache")
 
 
 def land_pages(df: DataFrame, path: str, columns: list[str], number: Column, page_rows: int = 1000) -> None:

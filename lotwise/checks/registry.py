@@ -33,7 +33,7 @@ ZOOM = 12
 
 def query(make: Callable[[core.RawTables], DataFrame]) -> Callable[[core.RawTables], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return make(fixtures.raw_tables(prepare(spark), sf_dir))
+        return make(fixtures.ViewTables(prepare(spark), sf_dir))
 
     REGISTRY[make.__name__] = run
     return make
@@ -178,7 +178,7 @@ def cache_upsert(raw: core.RawTables) -> DataFrame:
 @located_query
 def label_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels after a run with the stub labeler, read from the store it wrote."""
-    raw = fixtures.raw_tables(spark, sf_dir)
+    raw = fixtures.ViewTables(spark, sf_dir)
     store = LabelStore(spark, scratch_path(spark, "labels"))
     store.write(raw.labels)
     texts = scope.texts_to_label(core.scoped_permits(raw, staging.TEXT))
@@ -197,7 +197,7 @@ def label_pairs(raw: core.RawTables) -> DataFrame:
 @query
 def geocoded(raw: core.RawTables) -> DataFrame:
     scoped = core.scoped_permits(raw, staging.PLACE)
-    placed = geocode.locate(scoped, staging.addresses(raw.address_points), raw.hot_keys)
+    placed = geocode.locate(scoped, staging.addresses(raw.address_points), raw.place_keys)
     return as_point(
         placed.select("permit_num", "source_status", "full_address", "ward", "geom", "geocode_method")
     )
@@ -206,14 +206,14 @@ def geocoded(raw: core.RawTables) -> DataFrame:
 @query
 def geocode_method(raw: core.RawTables) -> DataFrame:
     scoped = core.scoped_permits(raw, staging.PLACE)
-    placed = geocode.locate(scoped, staging.addresses(raw.address_points), raw.hot_keys)
+    placed = geocode.locate(scoped, staging.addresses(raw.address_points), raw.place_keys)
     return placed.groupBy("geocode_method").agg(F.count(F.lit(1)).alias("permits"))
 
 
 @query
 def permit_roads(raw: core.RawTables) -> DataFrame:
     scoped = core.scoped_permits(raw, staging.PLACE)
-    classed = geocode.with_road_class(scoped, staging.streets(raw.centreline), raw.hot_keys)
+    classed = geocode.with_road_class(scoped, staging.streets(raw.centreline), raw.place_and_road_keys)
     return classed.select("permit_num", "source_status", "road_class")
 
 
@@ -254,7 +254,7 @@ def summary(raw: core.RawTables) -> DataFrame:
 def permit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features written and read again."""
     path = scratch_path(spark, "features")
-    housing = core.multiplex(core.permits_core(fixtures.raw_tables(spark, sf_dir)))
+    housing = core.multiplex(core.permits_core(fixtures.ViewTables(spark, sf_dir)))
     features.write_lines(features.permit_features(housing), path)
     return as_point(features.read_features(spark, path, features.PERMIT_PROPERTIES))
 
@@ -262,7 +262,7 @@ def permit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @located_query
 def ward_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "features")
-    wards = staging.current_wards(fixtures.raw_tables(spark, sf_dir).city_wards, fixtures.AS_OF)
+    wards = staging.current_wards(fixtures.ViewTables(spark, sf_dir).city_wards, fixtures.AS_OF)
     features.write_lines(features.ward_features(wards), path)
     return features.read_features(spark, path, features.WARD_PROPERTIES)
 
@@ -342,6 +342,6 @@ def quality_report(raw: core.RawTables) -> DataFrame:
         staging.permits(raw.permits, staging.SCOPE),
         raw.address_points,
         addresses,
-        geocode.locate(core.scoped_permits(raw, staging.PLACE), addresses, raw.hot_keys),
+        geocode.locate(core.scoped_permits(raw, staging.PLACE), addresses, raw.place_keys),
         core.labelled_permits(raw),
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.operators.first_row import first_per_key
-from lotwise.operators.lookup import hot_keys, lookup
+from lotwise.operators.lookup import hot_keys, is_broadcast, lookup
 
 STREET_KEY = ["street_num", "street_name", "street_type", "street_direction"]
 ROAD_KEY = ["street_name", "street_type", "street_direction"]
@@ -24,20 +24,28 @@ class HotKeys:
     repeated_ids: list[int] = field(default_factory=list)
 
 
-def measure_hot_keys(permits: DataFrame, addresses: DataFrame) -> HotKeys:
-    """Measure staged frames, or any frames that hold at least the rows to be joined."""
-    left = hot_keys(permits, {"by_id": ["geo_id"], "by_street": STREET_KEY, "by_road": ROAD_KEY})
-    right = hot_keys(addresses, {"repeated_ids": ["address_point_id"]})
-    # A unique id is never "many rows", however small the table is.
-    if right["repeated_ids"]:
-        counts = (
-            addresses.filter(F.col("address_point_id").isin(right["repeated_ids"]))
-            .groupBy("address_point_id")
-            .count()
-            .filter("count > 1")
-        )
-        right["repeated_ids"] = sorted(row["address_point_id"] for row in counts.collect())
-    return HotKeys(**left, **right)
+def measure_hot_keys(permits: DataFrame, addresses: DataFrame, streets: DataFrame | None = None) -> HotKeys:
+    """Measure staged frames, or any frames that hold at least the rows to be joined.
+
+    Lookups that Spark will broadcast need no measuring.
+    """
+    left: dict[str, list[str]] = {}
+    right: dict[str, list[int]] = {}
+    if not is_broadcast(addresses):
+        left |= {"by_id": ["geo_id"], "by_street": STREET_KEY}
+        right = {"repeated_ids": _repeated(addresses)}
+    if streets is not None and not is_broadcast(streets):
+        left |= {"by_road": ROAD_KEY}
+    return HotKeys(**(hot_keys(permits, left) if left else {}), **right)
+
+
+def _repeated(addresses: DataFrame) -> list[int]:
+    """Hot address ids with more than one row: in a small table one row may be a hot share."""
+    hot = hot_keys(addresses, {"id": ["address_point_id"]})["id"]
+    if not hot:
+        return []
+    counts = addresses.filter(F.col("address_point_id").isin(hot)).groupBy("address_point_id").count()
+    return sorted(row["address_point_id"] for row in counts.filter("count > 1").collect())
 
 
 def first_address_per_street_key(addresses: DataFrame) -> DataFrame:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import batched
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
+import lotwise
+
 from lotwise import schemas as V
 from lotwise.functions.clean import text_digest
 from lotwise.session import scratch_path, shuffle_width
@@ -18,6 +22,9 @@ ANSWER_SCHEMA = (
     "classifications array<struct<permit_num string, unit_form string, construction_type string>>"
 )
 
+# Calls whose answers go back to the JVM together.
+CALLS_PER_FRAME = 100
+
 # Takes up to LABEL_BATCH (permit_num, description) pairs, gives the answer as JSON text.
 Labeler = Callable[[list[tuple[str, str]]], str]
 
@@ -75,17 +82,22 @@ def ask(texts: DataFrame, labeler: Labeler, batch_size: int = V.LABEL_BATCH) ->
     answer and does not stop the run. Write the result before reading it more than once: a
     second reading would ask again.
     """
+    # Send this package's functions along: workers may not be able to import them.
+    cloudpickle.register_pickle_by_value(lotwise)
 
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches(frames, batch_size):
-            try:
-                answer = labeler([(row.permit_num, row.description) for row in batch])
-            except Exception:  # the rules cover the batch until the next run
-                answer = None
-            requests = [
-                {"permit_num": row.permit_num, "description_hash": row.description_hash} for row in batch
-            ]
-            yield pd.DataFrame({"requests": [requests], "answer": [answer]})
+        for several in batched(batches(frames, batch_size), CALLS_PER_FRAME):
+            rows = []
+            for batch in several:
+                try:
+                    answer = labeler([(row.permit_num, row.description) for row in batch])
+                except Exception:  # the rules cover the batch until the next run
+                    answer = None
+                requests = [
+                    {"permit_num": row.permit_num, "description_hash": row.description_hash} for row in batch
+                ]
+                rows.append((requests, answer))
+            yield pd.DataFrame(rows, columns=["requests", "answer"])
 
     return texts.mapInPandas(
         call, "requests array<struct<permit_num string, description_hash string>>, answer string"

@@ -9,12 +9,14 @@ is about the shuffled join. A salt takes part in the key:
   the few lookup rows of that key are repeated once per salt;
 * every other row has salt 0, on both sides.
 
-Which keys are hot is measured, not guessed (``hot_keys``). A wrong guess could only cost
+Which keys are hot is measured, not guessed (``hot_keys``), unless the lookup side is small
+enough to be broadcast anyway (``is_broadcast``). A wrong guess could only cost
 balance: the rows of the result are the same for any set of hot keys.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -28,6 +30,17 @@ MOST_HOT_KEYS = 1000
 SKETCH_GROUPS = 256
 
 
+def is_broadcast(df: DataFrame) -> bool:
+    """Whether Spark, by the size it estimates, will broadcast this side of a left join.
+
+    Then the other side is not shuffled and no key of it can be hot.
+    """
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", limit).groups()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
 def key_digest(keys: list[str]) -> Column:
     """A single bigint key stands for itself, several columns for their hash."""
     if len(keys) == 1:

@@ -13,7 +13,7 @@ from lotwise.operators import geocode, labels, scope
 from lotwise.plans import staging
 
 
-@dataclass(frozen=True)
+@dataclass(eq=False)
 class RawTables:
     """Raw frames; ``permits`` holds both sources and their ``source_status``."""
 
@@ -23,11 +23,19 @@ class RawTables:
     city_wards: DataFrame
     labels: DataFrame
 
+    def _in_scope_revisions(self) -> DataFrame:
+        """All in-scope revisions: a superset of the rows to be joined that needs no shuffle."""
+        return scope.in_scope(staging.permit_rows(self.permits, staging.PLACE))
+
+    @cached_property
+    def place_keys(self) -> geocode.HotKeys:
+        return geocode.measure_hot_keys(self._in_scope_revisions(), staging.addresses(self.address_points))
+
     @cached_property
-    def hot_keys(self) -> geocode.HotKeys:
-        """Measured on all in-scope revisions: a superset of the joined rows, no shuffle."""
-        rows = scope.in_scope(staging.permit_rows(self.permits, staging.PLACE))
-        return geocode.measure_hot_keys(rows, staging.addresses(self.address_points))
+    def place_and_road_keys(self) -> geocode.HotKeys:
+        return geocode.measure_hot_keys(
+            self._in_scope_revisions(), staging.addresses(self.address_points), staging.streets(self.centreline)
+        )
 
 
 def scoped_permits(raw: RawTables, columns: list[str]) -> DataFrame:
@@ -45,7 +53,7 @@ def permits_core(raw: RawTables) -> DataFrame:
         labelled_permits(raw),
         staging.addresses(raw.address_points),
         staging.streets(raw.centreline),
-        raw.hot_keys,
+        raw.place_and_road_keys,
     )
 
 
@@ -86,7 +94,7 @@ def placed_multiplex(raw: RawTables) -> DataFrame:
     rules and the description column are left out.
     """
     few = scope.small_gain(scoped_permits(raw, staging.PLACE))
-    return geocode.locate(few, staging.addresses(raw.address_points), raw.hot_keys).select(
+    return geocode.locate(few, staging.addresses(raw.address_points), raw.place_keys).select(
         F.col("source_status").alias("status"),
         "permit_num",
         "net_units_created",

@@ -58,8 +58,9 @@ def build_marts(warehouse: Warehouse, cache: DataFrame) -> None:
     scoped = scope.with_units(scope.in_scope(warehouse.read("stg_permits")))
     scoped = warehouse.save(labels.with_labels(with_rule_labels(scoped), cache), "scoped_permits")
     addresses = warehouse.read("stg_address_points")
-    hot = geocode.measure_hot_keys(scoped, addresses)
-    permits = core.permits_with_units(scoped, addresses, warehouse.read("stg_centreline"), hot)
+    streets = warehouse.read("stg_centreline")
+    hot = geocode.measure_hot_keys(scoped, addresses, streets)
+    permits = core.permits_with_units(scoped, addresses, streets, hot)
     permits = warehouse.save(permits, "permits_with_units")
     housing = warehouse.save(core.multiplex(permits), "multiplex_permits")
     warehouse.save(marts.by_ward(housing), "multiplex_by_ward")

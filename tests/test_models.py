@@ -144,7 +144,8 @@ def test_a_repeated_address_id_repeats_the_permit(spark):
     assert [tuple(r) for r in quality.repeated_addresses(staging.addresses(addresses(spark, *twice))).collect()] == [(100, 3)]
 
 
-def test_hot_keys_change_no_result(spark):
+def test_hot_keys_change_no_result(shuffled_joins):
+    spark = shuffled_joins
     rows = [{"PERMIT_NUM": f"P{i}", "GEO_ID": "100" if i % 2 else None if i % 3 else str(i)} for i in range(60)]
     points = [{"ADDRESS_FULL": f"a{i % 4}"} for i in range(30)] + [
         {"ADDRESS_POINT_ID": str(i), "ADDRESS_NUMBER": str(i)} for i in range(60)
@@ -157,6 +158,11 @@ def test_hot_keys_change_no_result(spark):
     assert plain.count() == 30 * 30 + 30
 
 
+def test_small_lookups_need_no_hot_keys(spark):
+    staged, stored = staging.permits(permits(spark, {})), staging.addresses(addresses(spark, {}))
+    assert geocode.measure_hot_keys(staged, stored) == geocode.HotKeys()
+
+
 def test_categories(spark):
     suite, plain = V.BASEMENT_SUITE, V.STANDARD
     cases = [
