@@ -16,6 +16,7 @@ from lotwise.plans import core, map_view, marts, quality, staging
 from lotwise.session import prepare, scratch_path
 from lotwise.sources import features, landed
 from lotwise.sources.label_store import LabelStore
+from lotwise.sources.tables import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -286,7 +287,7 @@ def narrow_facet_view(raw: core.RawTables) -> DataFrame:
 
 @query
 def shown_layers(raw: core.RawTables) -> DataFrame:
-    layers = mapped_multiplex(raw)
+    layers = stored(mapped_multiplex(raw), "layers")
     shown = facets.shown_layers(layers, facets.visible(layers))
     return as_point(shown.select("permit_num", "status", "net_units_created", "geom"))
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.operators.first_row import first_per_key
-from lotwise.operators.lookup import hot_keys, is_broadcast, lookup
+from lotwise.operators.lookup import all_present, hot_keys, is_broadcast, lookup
 
 STREET_KEY = ["street_num", "street_name", "street_type", "street_direction"]
 ROAD_KEY = ["street_name", "street_type", "street_direction"]
@@ -54,7 +54,7 @@ def first_address_per_street_key(addresses: DataFrame) -> DataFrame:
         F.asc_nulls_last("address_point_id"), F.asc_nulls_last("full_address"),
         F.asc_nulls_last("ward"), F.asc_nulls_last("geom"),
     ]
-    return first_per_key(addresses.dropna(subset=STREET_KEY), STREET_KEY, order)
+    return first_per_key(addresses.filter(all_present(STREET_KEY)), STREET_KEY, order)
 
 
 def locate(permits: DataFrame, addresses: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
-from operator import or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,12 +41,15 @@ def is_broadcast(df: DataFrame) -> bool:
     return size <= int(number) * 1024 ** " kmgt".index(unit or " ")
 
 
+def all_present(columns: list[str]) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+
+
 def key_digest(keys: list[str]) -> Column:
     """A single bigint key stands for itself, several columns for their hash."""
     if len(keys) == 1:
         return F.col(keys[0])
-    complete = ~reduce(or_, [F.col(k).isNull() for k in keys])
-    return F.when(complete, F.xxhash64(*keys))
+    return F.when(all_present(keys), F.xxhash64(*keys))
 
 
 def hot_keys(df: DataFrame, keys: dict[str, list[str]]) -> dict[str, list[int]]:
@@ -127,7 +130,7 @@ def lookup(
         F.when(is_repeated, F.array(spread_right)).when(is_hot, every_salt).otherwise(F.array(F.lit(0)))
     )
     salted_right = (
-        right.dropna(subset=on)
+        right.filter(all_present(on))
         .withColumn(SALT, F.explode(right_salts))
         .withColumn("_met", F.lit(True))
     )

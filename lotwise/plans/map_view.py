@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from lotwise import schemas as V
 from lotwise.functions import bins, geojson
 from lotwise.functions.months import months_between, year_month
+from lotwise.sources.tables import stored
 
 ZOOM_CELL_PIXELS = 60
 
 
 def _with_bin(df: DataFrame, value: str) -> DataFrame:
     """Add the bin of a value; the cuts over all rows come in as a scalar subquery."""
+    df = stored(df, "binned")
     with_cuts = df.withColumn("_cuts", bins.cut_points(df, value).scalar())
     return with_cuts.withColumn("bin", bins.bin_index(value, "_cuts")).drop("_cuts")
 
@@ -48,23 +50,27 @@ def ward_bins(totals: DataFrame) -> DataFrame:
 
 def bin_legend(totals: DataFrame, value: str = "net_units") -> DataFrame:
     """Whole-number edges of each bin; the last bin is open and ends at the largest value."""
+    totals = stored(totals, "legend")
     top = totals.agg(F.greatest(F.lit(1), F.max(value)).alias("top")).scalar()
     return bins.bin_edges(bins.cut_points(totals, value).withColumn("top", top))
 
 
-def month_axis(mapped: DataFrame) -> DataFrame:
-    """Every month from the first to the last application."""
-    span = mapped.agg(F.min("application_date").alias("first"), F.max("application_date").alias("last"))
-    return span.select(F.posexplode(months_between("first", "last")).alias("month_index", "year_month"))
+def month_axis(per_month: DataFrame) -> DataFrame:
+    """Every month from the first to the last one that occurs."""
+    span = per_month.agg(F.min("year_month").alias("first"), F.max("year_month").alias("last"))
+    day = lambda month: F.to_date(F.concat(month, F.lit("-01")))
+    months = months_between(day(F.col("first")), day(F.col("last")))
+    return span.select(F.posexplode(months).alias("month_index", "year_month"))
 
 
 def month_histogram(mapped: DataFrame) -> DataFrame:
     """Applications per month over all mapped permits, whatever the facets say."""
-    per_month = (
+    per_month = stored(
         mapped.groupBy(year_month("application_date").alias("year_month"))
-        .agg(F.count(F.lit(1)).alias("permits"))
+        .agg(F.count(F.lit(1)).alias("permits")),
+        "months",
     )
-    return month_axis(mapped).join(per_month, "year_month", "left").select(
+    return month_axis(per_month).join(per_month, "year_month", "left").select(
         "month_index", "year_month", F.coalesce("permits", F.lit(0)).alias("permits")
     )
 

@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lotwise.functions import clean
 from lotwise.functions.clean import has_text
 
-FINDING = ["finding", "detail", "n"]
-
-
 def _finding(df: DataFrame, finding: str, detail: Column) -> DataFrame:
     return (
         df.groupBy(detail.cast("string").alias("detail")).agg(F.count(F.lit(1)).alias("n"))
@@ -19,9 +16,19 @@ def _finding(df: DataFrame, finding: str, detail: Column) -> DataFrame:
     )
 
 
-def repeated_permits(staged: DataFrame) -> DataFrame:
-    """(permit, source) pairs with more than one staged row; there should be none."""
-    return staged.groupBy("permit_num", "source_status").count().filter("count > 1")
+def permit_keys(staged: DataFrame) -> DataFrame:
+    """(permit, source) pairs with more than one staged row, of which there should be none,
+    and permits that occur in both sources. One shuffle beyond the staging one."""
+    per_source = staged.groupBy("permit_num", "source_status").agg(F.count(F.lit(1)).alias("rows"))
+    per_permit = per_source.groupBy("permit_num").agg(
+        F.count(F.lit(1)).alias("sources"), F.count_if(F.col("rows") > 1).alias("repeated")
+    )
+    counts = per_permit.agg(
+        F.coalesce(F.sum("repeated"), F.lit(0)).alias("repeated permits"),
+        F.count_if(F.col("sources") > 1).alias("permits in both sources"),
+    )
+    long = counts.unpivot([], counts.columns, "finding", "n")
+    return long.select("finding", F.lit("all").alias("detail"), "n")
 
 
 def unreadable(rows: DataFrame) -> DataFrame:
@@ -50,13 +57,6 @@ def bad_geometry(raw_addresses: DataFrame, addresses: DataFrame) -> DataFrame:
     return given.unionByName(read).select(F.lit("geometry").alias("finding"), "detail", "n")
 
 
-def in_both_sources(staged: DataFrame) -> DataFrame:
-    return (
-        staged.groupBy("permit_num").agg(F.count_distinct("source_status").alias("sources"))
-        .filter("sources > 1")
-    )
-
-
 def geocode_rate(placed: DataFrame) -> DataFrame:
     return _finding(placed, "geocode", F.col("geocode_method"))
 
@@ -82,17 +82,13 @@ def report(
     raw_permits: DataFrame, staged: DataFrame, raw_addresses: DataFrame, addresses: DataFrame,
     placed: DataFrame, labelled: DataFrame,
 ) -> DataFrame:
-    def total(df: DataFrame, finding: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(finding).alias("finding"), F.lit("all").alias("detail"), "n"
-        )
-
     parts = [
-        total(repeated_permits(staged), "repeated permits"),
+        permit_keys(staged),
         unreadable(raw_permits),
-        total(repeated_addresses(addresses), "repeated address ids"),
+        repeated_addresses(addresses).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit("repeated address ids").alias("finding"), F.lit("all").alias("detail"), "n"
+        ),
         bad_geometry(raw_addresses, addresses),
-        total(in_both_sources(staged), "permits in both sources"),
         geocode_rate(placed),
         label_agreement(labelled),
     ]

@@ -36,6 +36,8 @@ def local_session(cores: str | int = 8, name: str = "lotwise", **conf: str) -> S
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.driver.memory", "8g")
+        # Call sites for error messages cost several driver calls per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**REQUIRED, **conf}.items():
         builder = builder.config(key, value)

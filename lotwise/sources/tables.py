@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lotwise.session import scratch_path
+
 
 def replace_table(df: DataFrame, path: str) -> int:
     """Replace a table and return its number of rows.
@@ -15,6 +17,17 @@ def replace_table(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a result that is about to be read several times, and go on from the copy.
+
+    The copy lies in the shared folder under a new name, so it survives lost executors and
+    its plan is not computed again by each reader.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Warehouse:
     """Logical table names bound to one folder each below a root."""
 

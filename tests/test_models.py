@@ -158,8 +158,10 @@ def test_hot_keys_change_no_result(shuffled_joins):
     assert plain.count() == 30 * 30 + 30
 
 
-def test_small_lookups_need_no_hot_keys(spark):
-    staged, stored = staging.permits(permits(spark, {})), staging.addresses(addresses(spark, {}))
+def test_small_lookups_need_no_hot_keys(spark, tmp_path):
+    addresses(spark, {}).write.parquet(str(tmp_path / "a"))
+    stored = staging.addresses(spark.read.parquet(str(tmp_path / "a")))
+    staged = staging.permits(permits(spark, {}))
     assert geocode.measure_hot_keys(staged, stored) == geocode.HotKeys()
 
 
