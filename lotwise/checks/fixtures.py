@@ -109,7 +109,7 @@ SELECT
     || cast(100 + s_suppkey % 900 AS string) || '1], [-79.5, 43.6]]]}' END AS geometry
 FROM @supplier
 """,
-    # Earlier labels, one row per permit number.
+    # Earlier labels: permits filed before 1999, one row each, a part of them for an older text.
     "fx_scope_cache": """
 SELECT permit_num, description_hash, construction_type, unit_form, model FROM (
   SELECT permit_num,
@@ -119,7 +119,7 @@ SELECT permit_num, description_hash, construction_type, unit_form, model FROM (
     'm1' AS model,
     row_number() OVER (PARTITION BY permit_num ORDER BY revision_num DESC NULLS LAST) AS rn
   FROM (SELECT p.*, cast(substr(permit_num, 2) AS bigint) AS o FROM @fx_permits p) q
-  WHERE description IS NOT NULL AND o % 4 < 2) z
+  WHERE description IS NOT NULL AND application_date < '1999-01-01') z
 WHERE rn = 1
 """,
 }

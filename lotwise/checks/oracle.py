@@ -104,7 +104,7 @@ MODELS = [
   FROM said)""",
     f"""labelled AS (
   SELECT r.*, coalesce(c.unit_form, rule_unit_form) AS unit_form,
-    coalesce(c.construction_type, rule_construction_type) AS construction_type,
+    coalesce(c.construction_type, rule_construction_type) AS construction_type
   FROM ruled r LEFT JOIN fx_scope_cache c
     ON c.permit_num = r.permit_num AND c.description_hash = md5(trim(r.description)))""",
     f"""sorted_out AS (
@@ -192,8 +192,7 @@ def statement(select: str, extra: str = "") -> str:
 
 
 SELECTS = {
-    "landed_permits": f"""SELECT * EXCLUDE (source_status) FROM fx_permits
-        WHERE source_status = 'active' AND application_date >= '{MIN_DATE}'""",
+    "landed_permits": "SELECT * EXCLUDE (source_status) FROM raw_permits",
     "landed_addresses": "SELECT * FROM fx_address_points",
     "stg_permits": "SELECT * FROM staged",
     "stg_addresses": f"SELECT * EXCLUDE (geom), {POINT} FROM address_rows",

@@ -69,9 +69,9 @@ def shown_ward_totals(raw: core.RawTables) -> DataFrame:
 
 @located_query
 def landed_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Active permits landed as pages, read again and narrowed to the first date."""
+    """Permits landed as pages, read again and narrowed to the first date."""
     path = scratch_path(spark, "pages")
-    rows = fixtures.view(spark, sf_dir, "fx_permits").filter(F.col("source_status") == V.ACTIVE)
+    rows = fixtures.view(spark, sf_dir, "fx_permits")
     number = F.substring("permit_num", 2, 20).cast("bigint")
     fixtures.land_pages(rows, path, V.PERMIT_COLUMNS, number)
     pages = scope.filed_since(landed.read_pages(spark, path, V.PERMIT_COLUMNS), fixtures.MIN_DATE)

@@ -19,6 +19,13 @@ PERMIT_PROPERTIES = {
 WARD_PROPERTIES = {"ward_code": "string", "ward_name": "string"}
 
 
+SUMMARY_SCHEMA = (
+    "last_updated string, "
+    "totals_by_status array<struct<status: string, permit_count: bigint, net_units_created: bigint>>, "
+    "unmatched_address_count bigint, earliest_application_date string, latest_application_date string"
+)
+
+
 def permit_features(housing: DataFrame) -> DataFrame:
     """One line per mapped permit; no units lost is written as null, dates as ISO text."""
     lost = F.nullif(F.col("dwelling_units_lost"), F.lit(0)).alias("dwelling_units_lost")
@@ -50,3 +57,7 @@ def read_features(spark: SparkSession, path: str, properties: dict[str, str]) ->
 
 def summary_line(summary: DataFrame) -> DataFrame:
     return summary.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SUMMARY_SCHEMA).json(path)

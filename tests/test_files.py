@@ -135,6 +135,8 @@ def test_daily_run(spark, tmp_path):
         assert spark.read.text(f"{folders.export}/permits.geojsonl").count() == 7
         summary = json.loads(spark.read.text(f"{folders.export}/summary.json").first()[0])
         assert summary["unmatched_address_count"] == 1 and summary["earliest_application_date"] == "2023-02-03"
+        back = features.read_summary(spark, f"{folders.export}/summary.json").first()
+        assert json.loads(json.dumps(summary)) == json.loads(json.dumps(back.asDict(recursive=True)))
         assert summary["totals_by_status"][0] == {"status": "active", "permit_count": 6, "net_units_created": 21}
     assert (labelling.to_label, labelling.labelled) == (9, 0)
     assert LabelStore(spark, folders.label_store).read().count() == 1
