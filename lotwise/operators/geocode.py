@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lotwise.operators.first_row import first_per_key
 from lotwise.operators.lookup import all_present, hot_keys, is_broadcast, lookup
+from lotwise.session import shuffle_width
 
 STREET_KEY = ["street_num", "street_name", "street_type", "street_direction"]
 ROAD_KEY = ["street_name", "street_type", "street_direction"]
@@ -40,12 +41,16 @@ def measure_hot_keys(permits: DataFrame, addresses: DataFrame, streets: DataFram
 
 
 def _repeated(addresses: DataFrame) -> list[int]:
-    """Hot address ids with more than one row: in a small table one row may be a hot share."""
+    """Hot address ids with more rows than there are salts.
+
+    Their permits are repeated once per salt, which is then less than the join's own output.
+    """
     hot = hot_keys(addresses, {"id": ["address_point_id"]})["id"]
     if not hot:
         return []
+    width = shuffle_width(addresses.sparkSession)
     counts = addresses.filter(F.col("address_point_id").isin(hot)).groupBy("address_point_id").count()
-    return sorted(row["address_point_id"] for row in counts.filter("count > 1").collect())
+    return sorted(row["address_point_id"] for row in counts.filter(F.col("count") > width).collect())
 
 
 def first_address_per_street_key(addresses: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def test_tiles(spark):
     assert tuple(map_view.stat_tiles(df.limit(0)).first()) == (0, 0, 0, 0)
 
 
-def reference_bins(values):
+def expected_bins(values):
     values, cuts = sorted(values), []
     for q in (0, 0.2, 0.4, 0.6, 0.8):
         at = (len(values) - 1) * q
@@ -77,7 +77,7 @@ def reference_bins(values):
 )
 def test_bins(spark, values):
     df = spark.createDataFrame([(f"w{i}", v) for i, v in enumerate(values)], "ward_name string, net_units bigint")
-    want = reference_bins(values)
+    want = expected_bins(values)
     assert bins.cut_points(df, "net_units").first()["cuts"] == pytest.approx(want)
     for r in map_view.ward_bins(df).collect():
         assert r.bin == max([i for i, cut in enumerate(want) if r.net_units >= cut], default=0)

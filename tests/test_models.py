@@ -204,6 +204,23 @@ def test_marts_agree_with_each_other(spark):
     assert (row.unmatched_address_count, row.earliest_application_date, row.latest_application_date) == (3, "2023-02-01", "2023-07-01")
 
 
+def test_shuffled_lookups_place_the_same_rows(shuffled_joins):
+    spark = shuffled_joins
+    rows = [{"PERMIT_NUM": n, "GEO_ID": g, "source_status": s} for n in ("a", "b", None) for g, s in (("100", "active"), (None, "active"))]
+    rows += [{"PERMIT_NUM": "a", "STATUS": "Closed", "source_status": "cleared", "STREET_NUM": "9", "GEO_ID": "9"}]
+    points = [{"ADDRESS_FULL": "x"}, {"ADDRESS_FULL": "y"}, {"ADDRESS_POINT_ID": "5", "ADDRESS_NUMBER": "1"}]
+    raw = raw_tables(spark, [{**r, "REVISION_NUM": str(i)} for i, r in enumerate(rows)], points, [("King", "St", "W", "Local")])
+    assert not core.lookups_are_broadcast(staging.addresses(raw.address_points), staging.streets(raw.centreline))
+    by_keys = core.permits_core(raw)
+    direct = geocode.with_road_class(
+        geocode.locate(core.labelled_permits(raw), staging.addresses(raw.address_points)), staging.streets(raw.centreline)
+    )
+    columns = ["permit_num", "status", "full_address", "ward", "geom", "road_class", "description"]
+    want = direct.withColumnRenamed("source_status", "status").select(*columns).collect()
+    assert sorted(map(str, by_keys.select(*columns).collect())) == sorted(map(str, want))
+    assert len(want) == 4
+
+
 def test_summary_of_nothing(spark):
     [row] = marts.summary(core.placed_multiplex(raw_tables(spark, [{"STATUS": "Refused"}], [{}])), "now").collect()
     assert (row.totals_by_status, row.unmatched_address_count, row.earliest_application_date) == ([], 0, None)
