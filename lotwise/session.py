@@ -56,14 +56,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder: on a cluster a machine-local
     one would be lost with its machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="lotwise-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lotwise-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lotwise.operators.first_row import first_per_key
 from lotwise.schemas import CACHE_COLUMNS, CACHE_SCHEMA
 
 
@@ -47,6 +48,7 @@ class LabelStore:
         return path
 
     def import_csv(self, path: str) -> str:
-        """Take over labels kept as a CSV file with a header."""
+        """Take over labels kept as a CSV file with a header; a repeated key counts once."""
         rows = self.spark.read.schema(CACHE_SCHEMA).csv(path, header=True, multiLine=True, escape='"')
-        return self.write(rows)
+        key, labels = CACHE_COLUMNS[:2], CACHE_COLUMNS[2:]
+        return self.write(first_per_key(rows, key, [F.asc_nulls_last(c) for c in labels]))

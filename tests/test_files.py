@@ -64,11 +64,31 @@ def test_replace_table_counts_what_it_wrote(spark, tmp_path):
     assert Warehouse(spark, str(tmp_path) + "/").read("t").count() == 3
 
 
-def test_shared_folder_is_the_one_the_session_names(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_folder(spark) == (named or shared_folder(spark)).rstrip("/")
-    assert scratch_path(spark, "x").startswith(shared_folder(spark))
-    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+class Session:
+    """A session of which only the folder settings matter."""
+
+    def __init__(self, master, setting=None):
+        self.master, self.setting, self.folder = master, setting, None
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default):
+        return self.setting or default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = f"file:{folder}"
+
+
+def test_shared_folder_is_the_one_the_cluster_names(spark):
+    assert shared_folder(Session("yarn", "s3a://bucket/tmp/")) == "s3a://bucket/tmp"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session("yarn"))
+    local = Session("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.folder
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first != second and first.startswith(shared_folder(spark))
 
 
 def test_features_keep_nulls_and_read_back(spark, tmp_path):

@@ -119,7 +119,7 @@ def test_a_version_without_marker_does_not_count(spark, store, tmp_path):
 
 def test_csv_import(spark, store, tmp_path):
     path = tmp_path / "labels.csv"
-    path.write_text('permit_num,description_hash,construction_type,unit_form,model\n"a, ""b""",h,x,f,m\nc,h,x,,m\n')
+    path.write_text('permit_num,description_hash,construction_type,unit_form,model\n"a, ""b""",h,x,f,m\nc,h,y,,m\nc,h,x,,m\n')
     store.import_csv(str(path))
     assert sorted(tuple(r) for r in store.read().collect()) == [('a, "b"', "h", "x", "f", "m"), ("c", "h", "x", "", "m")]
 
