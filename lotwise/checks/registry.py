@@ -338,11 +338,13 @@ def cluster_bins(raw: core.RawTables) -> DataFrame:
 @query
 def quality_report(raw: core.RawTables) -> DataFrame:
     addresses = staging.addresses(raw.address_points)
+    labelled = stored(core.labelled_permits(raw), "labelled")
+    keys = labelled.select(*geocode.PERMIT_ID, "geo_id", *geocode.STREET_KEY)
     return quality.report(
         raw.permits,
         staging.permits(raw.permits, staging.SCOPE),
         raw.address_points,
         addresses,
-        geocode.locate(core.scoped_permits(raw, staging.PLACE), addresses, raw.place_keys),
-        core.labelled_permits(raw),
+        geocode.locate(keys, addresses, raw.place_keys),
+        labelled,
     )
