@@ -2,9 +2,9 @@
 
 A found value is validated (check digits, ranges, calendar), turned into a number of its own
 format, and permuted by a keyed Feistel network over exactly the numbers of that format. So a
-pseudonym is a valid value of the same shape and length, equal values get equal pseudonyms in
-every document and on every executor, and who holds the key can go back. Separators, country
-codes and top-level domains stay. Check digits are computed anew.
+pseudonym is a valid value of the same shape, equal values get equal pseudonyms in
+every document and on every executor, and who holds the key can go back. Separators, set-off
+country codes and top-level domains stay. Check digits are computed anew.
 
 Kinds: email, card (Luhn), iban (mod 97), ssn, ip (four bytes), date (year-first, and day or
 month first, between 1800 and 2199), phone. Numbers that fail their check are not touched.
@@ -21,7 +21,7 @@ from datetime import date, timedelta
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from lotwise.llm.common import map_arrow
@@ -36,8 +36,8 @@ NUMBER = re.compile(
     r"(?<![A-Za-z0-9])(?:"
     r"(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
     r"|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]))"
-    r"|(?P<ymd>[0-9]{4}([-/.])[0-9]{1,2}\3[0-9]{1,2}(?![0-9]))"
-    r"|(?P<dmy>[0-9]{1,2}([-/.])[0-9]{1,2}\5[0-9]{4}(?![0-9]))"
+    r"|(?P<ymd>[0-9]{4}(?P<s1>[-/.])[0-9]{1,2}(?P=s1)[0-9]{1,2}(?![0-9]))"
+    r"|(?P<dmy>[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4}(?![0-9]))"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
     r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))"
     r")"
@@ -222,7 +222,7 @@ class Pseudonyms:
                 continue
             out, last, size, moved = [], 0, 0, []
             for match in pattern.finditer(text):
-                group = "email" if pattern is EMAIL else match.lastgroup or next(k for k, v in match.groupdict().items() if v)
+                group = "email" if pattern is EMAIL else match.lastgroup
                 new = self._cards(match[0]) if group == "card" else self._one(group, match[0])
                 if new is None or any(a < match.end() and b > match.start() for a, b, _ in spans):
                     continue
@@ -270,3 +270,8 @@ def pseudonymise(docs: DataFrame, key: bytes, with_spans: bool = True) -> DataFr
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return map_arrow(docs, run, schema)
+
+
+def with_text_length(docs: DataFrame) -> DataFrame:
+    """``n_chars``, where there is one, as the length of the new text."""
+    return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
