@@ -1,21 +1,24 @@
 """Near-duplicates: a multi-index Hamming join of b-bit MinHash signatures, confirmed exactly.
 
-Signatures. Each distinct shingle set, a *class*, has ``SYMBOLS`` MinHash values cut to 16 bits.
-Two sets of similarity s differ in a share 1 - s of the symbols on average.
+Signatures. Each distinct shingle set, a *class*, has ``SYMBOLS`` MinHash values cut to 16 bits,
+which are indexed, and ``MORE`` cut to 8 bits. Two sets of similarity s differ in a share 1 - s of
+the symbols on average.
 
 Candidates. The signature is split into ``CHUNKS`` chunks of five symbols. Signatures that differ
 in at most ``MOST_DIFFERENT`` = 2 * CHUNKS - 1 symbols have, by the pigeonhole principle, a chunk
 with at most one difference. So each chunk is indexed five times, with each of its symbols left
 out in turn: one of these keys is then equal. No pair under the threshold is missed. At
 similarity 0.8 a pair lies above it with a probability of about 0.0005, and far less for
-closer pairs; that chance of the hash functions is the only source of a lost link.
+closer pairs; that chance of the hash functions is the only source of a lost link. Over all
+symbols, ``MOST_OF_ALL`` may differ: four standard deviations above the mean at 0.8.
 
 Links. Pairs of classes that share a key are never all listed. First, each class is tested
 against the pivots of its keys (a pseudo-random member each), the ``PIVOTS`` with the most shared
 keys. Confirmed links give components. Then every key whose classes still lie in more than one
-component is searched for pairs in different components under the signature threshold; these
-are all confirmed too. Pairs inside a component are not tested: they cannot change it. Large
-keys are searched in parts: classes outside the key's main component go to each part.
+component is searched: classes outside the key's main component are tested against their nearest
+class of another one. After that, all pairs in different components under both thresholds are
+tested. Pairs inside a component are not: they cannot change it. Large keys are searched in
+parts: classes outside the main component go to each part.
 
 Confirmation counts the common shingles of the full sets, read again from the texts of the
 candidates alone: a bitmap of fixed size picks them before the shuffle.
@@ -39,23 +42,33 @@ from lotwise.llm.words import U64, mix, shingle_sets, stream
 CHUNKS, CHUNK = 15, 5
 SYMBOLS = CHUNKS * CHUNK
 MOST_DIFFERENT = 2 * CHUNKS - 1
+MORE = 181
+MOST_OF_ALL = 77
 PIVOTS = 2
 # Fewer shared keys than this are no reason to test a pivot: the search finds those pairs.
 LEAST_SHARED = 5
 # Rows of a key searched by one group; a key has as many groups as it needs.
 SEARCH_ROWS = 512
 
-MULTIPLY = stream(0, SYMBOLS, 44) | U64(1)
-ADD = stream(0, SYMBOLS, 55)
+MULTIPLY = stream(0, SYMBOLS + MORE, 44) | U64(1)
+ADD = stream(0, SYMBOLS + MORE, 55)
 
 
 def signature(shingles: np.ndarray) -> bytes:
-    """``SYMBOLS`` MinHash values of 16 bits each."""
-    least = np.full(SYMBOLS, np.iinfo(U64).max, U64)
-    for start in range(0, len(shingles), 4096):
-        part = shingles[start : start + 4096, None] * MULTIPLY + ADD
+    """``SYMBOLS`` MinHash values of 16 bits each and ``MORE`` of 8 bits."""
+    least = np.full(len(MULTIPLY), np.iinfo(U64).max, U64)
+    for start in range(0, len(shingles), 1024):
+        part = shingles[start : start + 1024, None] * MULTIPLY
+        part += ADD
         np.minimum(least, part.min(axis=0), out=least)
-    return (mix(least) >> U64(48)).astype("<u2").tobytes()
+    least = mix(least)
+    return (least[:SYMBOLS] >> U64(48)).astype("<u2").tobytes() + (least[SYMBOLS:] >> U64(56)).astype("u1").tobytes()
+
+
+def symbols_of(signatures: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Indexed and further symbols, a row per signature."""
+    rows = np.frombuffer(b"".join(signatures), "u1").reshape(-1, 2 * SYMBOLS + MORE)
+    return np.ascontiguousarray(rows[:, : 2 * SYMBOLS]).view("<u2"), rows[:, 2 * SYMBOLS :]
 
 
 def index_keys(signatures: np.ndarray) -> np.ndarray:
@@ -108,7 +121,7 @@ def classes(rows: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            symbols = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+            symbols, _ = symbols_of(batch.column("signature").to_pylist())
             keys = pa.ListArray.from_arrays(
                 np.arange(len(symbols) + 1, dtype=np.int32) * SYMBOLS, pa.array(index_keys(symbols).ravel())
             )
@@ -137,10 +150,10 @@ def pivot_pairs(shared: DataFrame) -> DataFrame:
     return top.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
 
 
-def crossing_pairs(shared: DataFrame, known: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs under the signature threshold that share a key but no component.
+def crossing_pairs(shared: DataFrame, known: DataFrame, parts: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) under the signature thresholds that share a key but no component.
 
-    Each pair comes from the first key that it shares.
+    With ``nearest``, one pair for each class outside a key's main component.
     """
     placed = shared.select("key", "class").join(parts.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.withColumn("component", F.coalesce("component", "class"))
@@ -165,46 +178,58 @@ def crossing_pairs(shared: DataFrame, known: DataFrame, parts: DataFrame, percen
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             rows = pa.concat_tables([rest, rows]) if rest is not None else rows
-            cuts = _group_ends(rows)
+            cuts = _group_begins(rows)
             rest = rows.slice(cuts[-1]) if len(cuts) else rows
-            yield from _search(rows, cuts, percent)
+            yield from _search(rows, cuts, percent, nearest)
         if rest is not None and rest.num_rows:
-            yield from _search(rest, np.array([0, rest.num_rows]), percent)
+            yield from _search(rest, np.array([0, rest.num_rows]), percent, nearest)
 
-    found = map_arrow(cluster, run, "a long, b long")
-    return found.distinct()
+    found = map_arrow(cluster, run, "a long, b long, distance int")
+    if nearest:
+        found = found.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best")).select("a", "best.b")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _group_ends(rows: pa.Table) -> np.ndarray:
-    """Where groups begin, the last group left open."""
+def _group_begins(rows: pa.Table) -> np.ndarray:
+    """Where groups begin; the last one may go on."""
     key, group = (rows.column(c).to_numpy() for c in ("key", "group"))
     return np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(group) != 0)])) if len(key) else np.zeros(0, int)
 
 
-def _search(rows: pa.Table, cuts: np.ndarray, percent: int):
+def _search(rows: pa.Table, cuts: np.ndarray, percent: int, nearest: bool):
+    """Pairs of the groups between ``cuts``: a class outside the main component, and one owned by the group."""
     if len(cuts) < 2:
         return
-    number, component, size = (rows.column(c).to_numpy() for c in ("class", "component", "n_shingles"))
-    key, major, owned = rows.column("key").to_numpy(), rows.column("major").to_numpy(), rows.column("owned").to_numpy()
-    symbols = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+    number, component, size, key = (rows.column(c).to_numpy() for c in ("class", "component", "n_shingles", "key"))
+    major, owned = (rows.column(c).to_numpy().astype(bool) for c in ("major", "owned"))
+    symbols, more = symbols_of(rows.column("signature").to_pylist())
     keys = index_keys(symbols)
-    found_a, found_b = [], []
-    for begin, end in zip(cuts[:-1], cuts[1:]):
+    found: list[np.ndarray] = []
+    for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         here = np.arange(begin, end)
-        minor = here[~major[here].astype(bool)]
-        for i in here[owned[here].astype(bool)]:
-            other = minor[(component[minor] != component[i]) & ((major[i]) | (number[minor] > number[i]))]
+        mine = here[owned[begin:end]]
+        for i in here[~major[begin:end]]:
+            # A pair of two classes outside the main component is listed by its larger one.
+            other = mine[(component[mine] != component[i]) & (major[mine] | (number[mine] < number[i]) | nearest)]
             other = other[100 * np.minimum(size[other], size[i]) >= percent * np.maximum(size[other], size[i])]
             if not len(other):
                 continue
-            other = other[(symbols[other] != symbols[i]).sum(axis=1) <= MOST_DIFFERENT]
-            # A pair is reported by the first key that both have.
-            first = np.argmax(keys[other] == keys[i], axis=1) if len(other) else other
-            other = other[keys[i][first] == key[i]] if len(other) else other
-            found_a += [int(min(number[i], n)) for n in number[other]]
-            found_b += [int(max(number[i], n)) for n in number[other]]
-    if found_a:
-        yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
+            first = (symbols[other] != symbols[i]).sum(axis=1)
+            distance = first + (more[other] != more[i]).sum(axis=1)
+            good = (first <= MOST_DIFFERENT) & (distance <= MOST_OF_ALL)
+            other, distance = other[good], distance[good]
+            if not len(other):
+                continue
+            if nearest:
+                at = np.lexsort((number[other], distance))[:1]
+            else:
+                # The first key that both have reports the pair.
+                at = keys[i][np.argmax(keys[other] == keys[i], axis=1)] == key[i]
+            other, distance = other[at], distance[at]
+            found.append(np.stack([np.full(len(other), number[i]), number[other], distance]))
+    if found:
+        a, b, distance = np.concatenate(found, axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(distance.astype(np.int32))], ["a", "b", "distance"])
 
 
 def confirmed(pairs: DataFrame, known: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -263,17 +288,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     shared = shared_keys(known)
     links = confirmed(pivot_pairs(shared), known, docs, n, percent)
     parts = written(components(links, "a", "b"), "components")
-    crossing = confirmed(crossing_pairs(shared, known, parts, percent), known, docs, n, percent)
-    label = F.coalesce("component", "class")
+    for nearest in (True, False):
+        more = confirmed(crossing_pairs(shared, known, parts, percent, nearest), known, docs, n, percent)
+        links = links.unionByName(more)
+        parts = written(components(links, "a", "b"), "components")
     of = parts.withColumnRenamed("node", "class")
-    between = (
-        crossing.join(of.select(F.col("class").alias("a"), F.col("component").alias("ca")), "a", "left")
-        .join(of.select(F.col("class").alias("b"), F.col("component").alias("cb")), "b", "left")
-        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    )
-    whole = components(between, "a", "b").select(F.col("node").alias("component"), F.col("component").alias("whole"))
-    numbered = known.select("class", *SET, "first_doc").join(of, "class", "left").withColumn("component", label)
-    numbered = numbered.join(whole, "component", "left").withColumn("component", F.coalesce("whole", "component"))
+    numbered = known.select("class", *SET, "first_doc").join(of, "class", "left").withColumn("component", F.coalesce("component", "class"))
     numbered = written(numbered.select("component", *SET, "first_doc"), "class-components")
     first = numbered.groupBy("component").agg(F.min("first_doc").alias("component_id"))
     named = numbered.join(first, "component").select(*SET, "component_id")
