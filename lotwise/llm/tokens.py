@@ -18,16 +18,15 @@ from pyspark.sql import DataFrame
 
 from lotwise.llm.common import kept, map_arrow
 
-# Pieces, and words of them, remembered per worker, about 200 bytes each; beyond that each
-# of the two memories starts anew.
-REMEMBERED_PIECES = 400_000
-REMEMBERED_WORDS = 400_000
-# White space before a space or line end: a cut at each of these would part a run of it.
-RUN_OF_SPACE = re.compile(r"\s[ \n]")
+# Pieces remembered per worker, about 200 bytes each, in each of two generations: a memory
+# that is full becomes the old one, from which pieces in use are taken over.
+REMEMBERED = 500_000
+# Where a cut at each space, line end, full stop and comma would part a run: white space before
+# white space, or anything but a Latin letter or ASCII digit before a stop or comma.
+RUN = re.compile(r"\s[ \n]|(?<![A-Za-z0-9À-ÖØ-öø-ɏ])[.,]")
 CUT = re.compile(r"(?<=\S)(?=[ \t\n\r\f\v])")
-# A word of Latin letters before the piece's end or ASCII punctuation: no match of the split
-# pattern goes from a letter to what is neither letter nor mark.
-WORD = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[!-/:-@[-`{-~]|\Z)")
+# Pieces that are one word: a zero byte after them is a match of its own.
+WORD = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 # Characters given to the library at once.
 BATCH_CHARS = 1 << 20
 
@@ -88,10 +87,28 @@ def from_ranks(path: str, pattern: str):
 
 
 def pieces(text: str) -> list[str]:
-    """The text cut before white space that follows something else."""
-    if "\0" in text or RUN_OF_SPACE.search(text):
+    """The text cut before white space that follows something else, and, if there are no runs
+    of such, before stops and commas: no match goes from a letter or digit to what is neither."""
+    if "\0" in text or RUN.search(text):
         return CUT.split(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+    return text.replace(" ", "\0 ").replace("\n", "\0\n").replace(",", "\0,").replace(".", "\0.").split("\0")
+
+
+class Memory:
+    """What the last so many different keys stood for, in two generations."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.old = most, {}, {}
+
+    def unknown(self, keys: set[str]) -> set[str]:
+        """The keys that are in neither generation; all others are in ``now`` afterwards."""
+        new = keys.difference(self.now)
+        if len(self.now) + len(new) > self.most:
+            self.now, self.old, new = {}, self.now, keys
+        again = new.intersection(self.old) if self.old else ()
+        for key in again:
+            self.now[key] = self.old[key]
+        return new.difference(again)
 
 
 class Encoder:
@@ -101,52 +118,30 @@ class Encoder:
         self.tokenizer = tokenizer
         # A zero byte between two words is a token of its own and occurs in no word.
         self.mark = tokenizer.encode("\0", add_special_tokens=False).ids
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.pieces = Memory(REMEMBERED)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _learn(self, new: set[str]) -> None:
+        known = self.pieces.now
+        words = [piece for piece in new if WORD.fullmatch(piece)]
         for start in range(0, len(words), 2000):
             batch = words[start : start + 2000]
             ids = np.array(self._ids(["\0".join(batch)])[0], dtype="<u4")
             ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids)) * 4
             every, begin = ids.tobytes(), 0
             for word, end in zip(batch, ends.tolist(), strict=True):
-                self.words[word] = every[begin:end]
+                known[word] = every[begin:end]
                 begin = end + 4
-
-    def _learn_pieces(self, new: list[str]) -> None:
-        parted, words, whole = [], [], set()
-        for piece in new:
-            if match := WORD.match(piece):
-                word, rest = piece[: (end := match.end())], piece[end:]
-                parted.append(piece)
-                parted.append(word)
-                parted.append(rest)
-                words.append(word)
-                whole.add(rest)
-            else:
-                whole.add(piece)
-        fresh = set(words).difference(self.words)
-        if len(self.words) + len(fresh) > REMEMBERED_WORDS:
-            self.words, fresh = {}, set(words)
-        self._learn_words(list(fresh))
-        whole = list(whole.difference(self.pieces))
-        for piece, ids in zip(whole, self._ids(whole)):
-            self.pieces[piece] = np.array(ids, dtype="<u4").tobytes()
-        known, of_word, flat = self.pieces, self.words, iter(parted)
-        for piece, word, rest in zip(flat, flat, flat):
-            known[piece] = of_word[word] + known[rest] if rest else of_word[word]
+        others = list(new.difference(words))
+        for piece, ids in zip(others, self._ids(others)):
+            known[piece] = np.array(ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [pieces(text) for text in texts]
-        new = set().union(*cut).difference(self.pieces)
-        if len(self.pieces) + len(new) > REMEMBERED_PIECES:
-            self.pieces, new = {}, set().union(*cut)
-        self._learn_pieces(list(new))
-        known = self.pieces
+        self._learn(self.pieces.unknown(set().union(*cut)))
+        known = self.pieces.now
         return [b"".join([known[p] for p in of_text]) for of_text in cut]
 
 
