@@ -84,11 +84,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     # Rows and decisions meet on plain columns, so that one shuffle of the texts serves both
     # the join and the choice among repeated rows.
     keys = [
-        F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_no_id"),
-        F.col("_digest"),
+        F.coalesce("doc_id", F.lit(0)).alias("_dedup_id"), F.col("doc_id").isNull().alias("_dedup_no_id"),
+        F.col("_dedup_digest"),
     ]
     names = [F.col(f"`{c}`") for c in docs.columns]
-    kept = resolve(docs).filter("kept").select("doc_id", F.col("digest").alias("_digest")).select(*keys)
-    marked = docs.withColumn("_digest", digest(F.col("text"))).select(*names, *keys)
-    on = ["_id", "_no_id", "_digest"]
+    kept = resolve(docs).filter("kept").select("doc_id", F.col("digest").alias("_dedup_digest")).select(*keys)
+    marked = docs.withColumn("_dedup_digest", digest(F.col("text"))).select(*names, *keys)
+    on = ["_dedup_id", "_dedup_no_id", "_dedup_digest"]
     return marked.join(kept, on, "leftsemi").dropDuplicates(on).select(*names)

@@ -13,7 +13,8 @@ Four kinds of spans, begin and end in code points:
 Strings on the allow list, and strings that overlap a span of another kind, give no entropy
 span. The first three kinds are always reported. DataFrame functions only.
 
-A null or empty text has no spans. Repeated rows are each scanned; other columns stay as they are.
+A null or empty text has no spans. Repeated rows are each scanned; other columns stay as they are,
+but columns named like the two results are replaced.
 """
 
 from __future__ import annotations
@@ -157,17 +158,18 @@ def _entropy_spans(candidates: Column, base: Column) -> Column:
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``base_spans`` and ``spans`` (all kinds), by start, then kind as listed."""
+    docs = docs.drop("base_spans", "spans")
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     plans = (
         (ASSIGN, (0, 2)), (_whole(ACCESS, ACCESS_LEAST - len("AKIA")), (0,)), (_whole(HEX, HEX_LEAST), (0,)), (CANDIDATE, (0,)),
     )
     # One step per column: what several later expressions read is computed once.
-    rows = docs.select("*", *[_gap_matches(t, p, groups).alias(f"_m{i}") for i, (p, groups) in enumerate(plans)])
-    rows = rows.select("*", *[_placed(f"_m{i}", i).alias(f"_s{i}") for i in range(len(plans))])
-    long_enough = F.filter("_s0", lambda s: F.char_length(s["value"]) >= ASSIGN_LEAST)
-    rows = rows.select("*", F.sort_array(F.concat(long_enough, "_s1", "_s2")).alias("base_spans"))
-    rows = rows.select("*", _entropy_spans(F.col("_s3"), F.col("base_spans")).alias("_e"))
-    rows = rows.select("*", F.sort_array(F.concat("base_spans", "_e")).alias("spans"))
+    rows = docs.select("*", *[_gap_matches(t, p, groups).alias(f"_scan_m{i}") for i, (p, groups) in enumerate(plans)])
+    rows = rows.select("*", *[_placed(f"_scan_m{i}", i).alias(f"_scan_s{i}") for i in range(len(plans))])
+    long_enough = F.filter("_scan_s0", lambda s: F.char_length(s["value"]) >= ASSIGN_LEAST)
+    rows = rows.select("*", F.sort_array(F.concat(long_enough, "_scan_s1", "_scan_s2")).alias("base_spans"))
+    rows = rows.select("*", _entropy_spans(F.col("_scan_s3"), F.col("base_spans")).alias("_scan_e"))
+    rows = rows.select("*", F.sort_array(F.concat("base_spans", "_scan_e")).alias("spans"))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], "base_spans", "spans")
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from frames import ROWS, documents, odd
+from small_docs import ROWS, documents, odd
 from hypothesis import given, settings, strategies as st
 
 from lotwise.llm import byte_bpe, packing, token_store, tokens
