@@ -42,8 +42,10 @@ def whole_number(c: Column | str, kind: str = "int") -> Column:
 
 
 def day(c: Column | str) -> Column:
+    """The date of a text; years of more than four digits are taken for typing errors: NULL."""
     c = col(c)
-    return F.when(c.rlike(DAY), F.regexp_replace(c, DAY, "$1-$3-$4").try_cast("date"))
+    found = F.when(c.rlike(DAY), F.regexp_replace(c, DAY, "$1-$3-$4").try_cast("date"))
+    return F.when(F.year(found) <= 9999, found)
 
 
 def moment(c: Column | str) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.operators.first_row import first_per_key
-from lotwise.operators.lookup import all_present, hot_keys, is_broadcast, lookup
+from lotwise.operators.lookup import all_present, hot_keys, lookup
 from lotwise.session import shuffle_width
 
 STREET_KEY = ["street_num", "street_name", "street_type", "street_direction"]
@@ -26,18 +26,11 @@ class HotKeys:
 
 
 def measure_hot_keys(permits: DataFrame, addresses: DataFrame, streets: DataFrame | None = None) -> HotKeys:
-    """Measure staged frames, or any frames that hold at least the rows to be joined.
-
-    Lookups that Spark will broadcast need no measuring.
-    """
-    left: dict[str, list[str]] = {}
-    right: dict[str, list[int]] = {}
-    if not is_broadcast(addresses):
-        left |= {"by_id": ["geo_id"], "by_street": STREET_KEY}
-        right = {"repeated_ids": _repeated(addresses)}
-    if streets is not None and not is_broadcast(streets):
+    """Measure staged frames, or any frames that hold at least the rows to be joined."""
+    left = {"by_id": ["geo_id"], "by_street": STREET_KEY}
+    if streets is not None:
         left |= {"by_road": ROAD_KEY}
-    return HotKeys(**(hot_keys(permits, left) if left else {}), **right)
+    return HotKeys(**hot_keys(permits, left), repeated_ids=_repeated(addresses))
 
 
 def _repeated(addresses: DataFrame) -> list[int]:

@@ -14,6 +14,7 @@ import lotwise
 
 from lotwise import schemas as V
 from lotwise.functions.clean import text_digest
+from lotwise.operators.first_row import first_per_key
 from lotwise.session import scratch_path, shuffle_width
 from lotwise.sources.label_store import LabelStore
 
@@ -32,9 +33,11 @@ Labeler = Callable[[list[tuple[str, str]]], str]
 def with_labels(scoped: DataFrame, cache: DataFrame) -> DataFrame:
     """Cached label of this permit and text where there is one, else the rule's, per axis.
 
-    ``scoped`` has the rule labels. The cache key is unique, so no row is repeated.
+    ``scoped`` has the rule labels. Of several cache rows with one key the first by value
+    counts, so no row is repeated.
     """
-    known = cache.select(
+    once = first_per_key(cache, CACHE_KEY, [F.asc_nulls_last(c) for c in ("construction_type", "unit_form")])
+    known = once.select(
         *CACHE_KEY,
         F.col("unit_form").alias("cached_unit_form"),
         F.col("construction_type").alias("cached_construction_type"),
@@ -53,11 +56,13 @@ def with_labels(scoped: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def needs_label(population: DataFrame, cache: DataFrame) -> DataFrame:
-    """Texts that the cache does not hold for their permit: new permits and changed texts."""
+    """Texts that the cache does not hold for their permit: new permits and changed texts.
+
+    One row per cache key: texts that differ by outer spaces are one request.
+    """
     hashed = population.withColumn("description_hash", text_digest("description"))
-    return hashed.join(cache.select(*CACHE_KEY), CACHE_KEY, "left_anti").select(
-        "permit_num", "description_hash", "description"
-    )
+    missing = hashed.join(cache.select(*CACHE_KEY), CACHE_KEY, "left_anti")
+    return missing.groupBy(*CACHE_KEY).agg(F.min("description").alias("description"))
 
 
 def batches(frames: Iterator[pd.DataFrame], size: int) -> Iterator[list]:
@@ -167,16 +172,15 @@ def refresh(population: DataFrame, store: LabelStore, labeler: Labeler | None, m
     population.write.parquet(f"{path}/population")
     population = spark.read.parquet(f"{path}/population")
     cache = store.read()
-    todo = needs_label(population, cache)
-    # One call at a time per task: spread the calls, two rows per permit at most.
-    todo = todo.repartition(shuffle_width(spark), "permit_num")
-    todo.write.parquet(f"{path}/todo")
+    needs_label(population, cache).write.parquet(f"{path}/todo")
     todo = spark.read.parquet(f"{path}/todo")
     in_scope, to_label = population.count(), todo.count()
     if to_label == 0:
         return LabelRun(in_scope, 0, 0, 0, cache.count())
 
-    ask(todo, labeler).write.parquet(f"{path}/answers")
+    # One call at a time per task: as many tasks as there are full batches, up to the width.
+    tasks = min(shuffle_width(spark), -(-to_label // V.LABEL_BATCH))
+    ask(todo.repartition(tasks), labeler).write.parquet(f"{path}/answers")
     matched = match_answers(spark.read.parquet(f"{path}/answers"), model)
     labelled = matched.agg(F.count_if("is_valid")).first()[0]
     store.write(upsert(cache, accepted(matched)))

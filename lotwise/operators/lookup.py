@@ -9,38 +9,23 @@ is about the shuffled join. A salt takes part in the key:
   the few lookup rows of that key are repeated once per salt;
 * every other row has salt 0, on both sides.
 
-Which keys are hot is measured, not guessed (``hot_keys``), unless the lookup side is small
-enough to be broadcast anyway (``is_broadcast``). A wrong guess could only cost
-balance: the rows of the result are the same for any set of hot keys.
+Which keys are hot is measured (``hot_keys``) if the caller asks for it. A wrong list could
+only cost balance: the rows of the result are the same for any set of hot keys.
 """
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lotwise.session import shuffle_width
 
 SALT = "_salt"
-SKETCH_ITEMS = 4096
-MOST_HOT_KEYS = 1000
 SKETCH_GROUPS = 256
 
 
-def is_broadcast(df: DataFrame) -> bool:
-    """Whether Spark, by the size it estimates, will broadcast this side of a left join.
-
-    Then the other side is not shuffled and no key of it can be hot.
-    """
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()
-    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", limit).groups()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= int(number) * 1024 ** " kmgt".index(unit or " ")
-
-
 def all_present(columns: list[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
@@ -56,16 +41,18 @@ def hot_keys(df: DataFrame, keys: dict[str, list[str]]) -> dict[str, list[int]]:
     """For each named key, the digests that hold more than half a partition's fair share.
 
     One pass over the key columns without a shuffle of rows: a frequent-items sketch per key
-    and group of map tasks, whose few entries are then added up. At most ``MOST_HOT_KEYS``
-    numbers per key reach the driver.
+    and group of map tasks, whose few entries are then added up. No more than two keys per
+    shuffle partition can hold that much, so at most that many numbers per name reach the driver.
     """
+    most = 2 * shuffle_width(df.sparkSession)
+    counters = max(4096, 8 * most)
     digests = df.select(
         F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"),
         *[key_digest(columns).alias(name) for name, columns in keys.items()],
     )
     sketches = digests.groupBy("_group").agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.expr(f"approx_top_k({name}, {MOST_HOT_KEYS}, {SKETCH_ITEMS})").alias(name) for name in keys],
+        *[F.expr(f"approx_top_k({name}, {most}, {counters})").alias(name) for name in keys],
     )
 
     def entries(name: str) -> Column:
@@ -75,7 +62,8 @@ def hot_keys(df: DataFrame, keys: dict[str, list[str]]) -> dict[str, list[int]]:
     top = (
         sketches.select(F.explode(F.concat(total, *[entries(name) for name in keys])).alias("e"))
         .groupBy("e.name", "e.item").agg(F.sum("e.n").alias("n"))
-        .orderBy(F.desc("n")).limit(MOST_HOT_KEYS * len(keys) + 1)
+        .withColumn("place", F.row_number().over(Window.partitionBy("name").orderBy(F.desc("n"), "item")))
+        .filter(F.col("place") <= most)
         .collect()
     )
     rows = sum(t["n"] for t in top if t["name"] == "_rows")

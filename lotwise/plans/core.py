@@ -10,20 +10,23 @@ from pyspark.sql import DataFrame, functions as F
 from lotwise.functions import categories, clean
 from lotwise.functions.rules import with_rule_labels
 from lotwise.operators import geocode, labels, scope
-from lotwise.operators.lookup import is_broadcast
 from lotwise.plans import staging
-from lotwise.sources.tables import stored
 
 
 @dataclass(eq=False)
 class RawTables:
-    """Raw frames; ``permits`` holds both sources and their ``source_status``."""
+    """Raw frames; ``permits`` holds both sources and their ``source_status``.
+
+    ``measured`` asks for the hot keys of the lookups to be measured first, which pays where
+    lookups shuffle. It changes the balance of tasks and never the rows.
+    """
 
     permits: DataFrame
     address_points: DataFrame
     centreline: DataFrame
     city_wards: DataFrame
     labels: DataFrame
+    measured: bool = False
 
     def _in_scope_revisions(self) -> DataFrame:
         """All in-scope revisions: a superset of the rows to be joined that needs no shuffle."""
@@ -31,10 +34,14 @@ class RawTables:
 
     @cached_property
     def place_keys(self) -> geocode.HotKeys:
+        if not self.measured:
+            return geocode.HotKeys()
         return geocode.measure_hot_keys(self._in_scope_revisions(), staging.addresses(self.address_points))
 
     @cached_property
     def place_and_road_keys(self) -> geocode.HotKeys:
+        if not self.measured:
+            return geocode.HotKeys()
         return geocode.measure_hot_keys(
             self._in_scope_revisions(), staging.addresses(self.address_points), staging.streets(self.centreline)
         )
@@ -52,43 +59,13 @@ def labelled_permits(raw: RawTables) -> DataFrame:
 
 def permits_core(raw: RawTables) -> DataFrame:
     addresses, streets = staging.addresses(raw.address_points), staging.streets(raw.centreline)
-    labelled = labelled_permits(raw)
-    if not lookups_are_broadcast(addresses, streets):
-        labelled = stored(labelled, "labelled")
-    return permits_with_units(labelled, addresses, streets, raw.place_and_road_keys)
-
-
-def lookups_are_broadcast(addresses: DataFrame, streets: DataFrame) -> bool:
-    return is_broadcast(addresses) and is_broadcast(streets)
-
-
-def with_place_and_road(
-    labelled: DataFrame, addresses: DataFrame, streets: DataFrame, hot: geocode.HotKeys
-) -> DataFrame:
-    """Add address, ward, geometry and road class.
-
-    Broadcast lookups add them to the rows where they are. Lookups that shuffle run on the
-    keys alone, and the wide rows with their texts are shuffled once, to take the result.
-    For that ``labelled`` is read twice: it should be a stored table.
-    """
-    def place(permits: DataFrame) -> DataFrame:
-        return geocode.with_road_class(geocode.locate(permits, addresses, hot), streets, hot)
-
-    if lookups_are_broadcast(addresses, streets):
-        return place(labelled)
-    keys = labelled.select(*geocode.PERMIT_ID, "geo_id", *geocode.STREET_KEY)
-    places = place(keys).select(
-        F.col("permit_num").alias("_permit"), F.col("source_status").alias("_source"),
-        "full_address", "ward", "geom", "road_class",
-    )
-    same_permit = F.col("permit_num").eqNullSafe(F.col("_permit")) & (F.col("source_status") == F.col("_source"))
-    return labelled.join(places, same_permit).drop("_permit", "_source")
+    return permits_with_units(labelled_permits(raw), addresses, streets, raw.place_and_road_keys)
 
 
 def permits_with_units(
     labelled: DataFrame, addresses: DataFrame, streets: DataFrame, hot: geocode.HotKeys
 ) -> DataFrame:
-    placed = with_place_and_road(labelled, addresses, streets, hot)
+    placed = geocode.with_road_class(geocode.locate(labelled, addresses, hot), streets, hot)
     return placed.select(
         "permit_num",
         F.col("source_status").alias("status"),

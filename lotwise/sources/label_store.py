@@ -32,11 +32,12 @@ class LabelStore:
         return f"{self.root}/{complete[-1]}" if complete else None
 
     def read(self) -> DataFrame:
-        """The newest labels, or none."""
+        """The newest labels, or none. Labels kept as empty text are missing: rules fill them."""
         path = self.latest()
         if path is None:
             return self.spark.createDataFrame([], CACHE_SCHEMA)
-        return self.spark.read.schema(CACHE_SCHEMA).parquet(path)
+        kept = self.spark.read.schema(CACHE_SCHEMA).parquet(path)
+        return kept.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in ("construction_type", "unit_form")})
 
     def write(self, labels: DataFrame) -> str:
         """Write the next version, sorted, with missing values as empty text."""

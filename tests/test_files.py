@@ -160,3 +160,25 @@ def test_daily_run(spark, tmp_path):
         assert summary["totals_by_status"][0] == {"status": "active", "permit_count": 6, "net_units_created": 21}
     assert (labelling.to_label, labelling.labelled) == (9, 0)
     assert LabelStore(spark, folders.label_store).read().count() == 1
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '{"success": true}',
+        '{"success": true, "result": {"records": null}}',
+        '{"success": true, "result": {"records": "text"}}',
+        '{"success": true, "result": []}',
+        '{"success": true, "result": {"records": [{"A": "1"}, 5, {"A": "2"}]}}',
+    ],
+)
+def test_no_page_or_record_is_lost_in_silence(spark, tmp_path, page):
+    (tmp_path / "p.json").write_text(page + "\n")
+    with pytest.raises(Exception, match="p.json"):
+        landed.read_pages(spark, str(tmp_path), ["A"]).collect()
+
+
+def test_stored_empty_labels_fall_to_the_rules(spark, tmp_path):
+    store = LabelStore(spark, str(tmp_path))
+    store.write(spark.createDataFrame([("a", "1", "alteration", None, "m")], V.CACHE_SCHEMA))
+    assert [tuple(r) for r in store.read().collect()] == [("a", "1", "alteration", None, "m")]

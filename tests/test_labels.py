@@ -113,7 +113,7 @@ def test_a_version_without_marker_does_not_count(spark, store, tmp_path):
     store.write(one)
     (tmp_path / "labels" / "v00000002").mkdir()
     assert [r.permit_num for r in store.read().collect()] == ["a", "b"]
-    assert store.read().filter("unit_form = ''").count() == 1
+    assert store.read().filter("unit_form IS NULL").count() == 1
     assert store.write(one.limit(1)).endswith("v00000003") and store.read().count() == 1
 
 
@@ -121,9 +121,28 @@ def test_csv_import(spark, store, tmp_path):
     path = tmp_path / "labels.csv"
     path.write_text('permit_num,description_hash,construction_type,unit_form,model\n"a, ""b""",h,x,f,m\nc,h,y,,m\nc,h,x,,m\n')
     store.import_csv(str(path))
-    assert sorted(tuple(r) for r in store.read().collect()) == [('a, "b"', "h", "x", "f", "m"), ("c", "h", "x", "", "m")]
+    assert sorted(tuple(r) for r in store.read().collect()) == [('a, "b"', "h", "x", "f", "m"), ("c", "h", "x", None, "m")]
 
 
 def test_stub_answers_are_json():
     answer = json.loads(stub_labeler.label([("p", "a suite."), ("q", "1234567"), ("r", "123456789")]))
     assert [a["permit_num"] for a in answer["classifications"]] == ["p", "r"]
+
+
+def test_full_batches_and_one_request_per_key(spark, tmp_path):
+    store = LabelStore(spark, str(tmp_path / "store"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        rows = [(f"p{i}", f"text {i}") for i in range(60)]
+        run = labels.refresh(texts(spark, rows + [("p0", " text 0 ")]), store, fixed, "m")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert (run.to_label, run.labelled, run.cached) == (60, 60, 60)
+
+
+def test_a_repeated_label_key_repeats_no_permit(spark):
+    scoped = with_rule_labels(texts(spark, [("a", "basement")]))
+    row = texts(spark, [("a", "basement")]).select("permit_num", text_digest("description").alias("description_hash"))
+    cache = row.selectExpr("*", "'severance' as construction_type", "'x' as unit_form", "'m' as model")
+    assert labels.with_labels(scoped, cache.unionByName(cache)).count() == 1

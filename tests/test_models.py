@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from dataclasses import replace
+from hashlib import md5
+
 import pytest
 from frames import addresses, permits
 from pyspark.sql import functions as F
@@ -158,13 +161,6 @@ def test_hot_keys_change_no_result(shuffled_joins):
     assert plain.count() == 30 * 30 + 30
 
 
-def test_small_lookups_need_no_hot_keys(spark, tmp_path):
-    addresses(spark, {}).write.parquet(str(tmp_path / "a"))
-    stored = staging.addresses(spark.read.parquet(str(tmp_path / "a")))
-    staged = staging.permits(permits(spark, {}))
-    assert geocode.measure_hot_keys(staged, stored) == geocode.HotKeys()
-
-
 def test_categories(spark):
     suite, plain = V.BASEMENT_SUITE, V.STANDARD
     cases = [
@@ -210,15 +206,19 @@ def test_shuffled_lookups_place_the_same_rows(shuffled_joins):
     rows += [{"PERMIT_NUM": "a", "STATUS": "Closed", "source_status": "cleared", "STREET_NUM": "9", "GEO_ID": "9"}]
     points = [{"ADDRESS_FULL": "x"}, {"ADDRESS_FULL": "y"}, {"ADDRESS_POINT_ID": "5", "ADDRESS_NUMBER": "1"}]
     raw = raw_tables(spark, [{**r, "REVISION_NUM": str(i)} for i, r in enumerate(rows)], points, [("King", "St", "W", "Local")])
-    assert not core.lookups_are_broadcast(staging.addresses(raw.address_points), staging.streets(raw.centreline))
-    by_keys = core.permits_core(raw)
-    direct = geocode.with_road_class(
-        geocode.locate(core.labelled_permits(raw), staging.addresses(raw.address_points)), staging.streets(raw.centreline)
-    )
+    twice = replace(raw, labels=spark.createDataFrame([("a", text_digest_of(""), "alteration", f, "m") for f in ("x", "y")], V.CACHE_SCHEMA))
     columns = ["permit_num", "status", "full_address", "ward", "geom", "road_class", "description"]
-    want = direct.withColumnRenamed("source_status", "status").select(*columns).collect()
-    assert sorted(map(str, by_keys.select(*columns).collect())) == sorted(map(str, want))
-    assert len(want) == 4
+    found = []
+    for tables in (raw, replace(raw, measured=True), twice):
+        for limit in ("-1", "10MB"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            found.append(sorted(map(str, core.permits_core(tables).select(*columns).collect())))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert len(found[0]) == 4 and all(rows == found[0] for rows in found)
+
+
+def text_digest_of(text: str) -> str:
+    return md5(text.strip(" ").encode()).hexdigest()
 
 
 def test_summary_of_nothing(spark):
