@@ -20,7 +20,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, {WORDS} AS words FROM documents
 ), sets AS (
   SELECT doc_id, list_distinct(CASE
-    WHEN len(words) >= 4 THEN list_transform(range(1, len(words) - 2), i -> array_to_string(words[i:i + 3], ' '))
+    WHEN len(words) >= 4 THEN [array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)]
     WHEN len(words) > 0 THEN [array_to_string(words, ' ')]
     ELSE [] END) AS shingles
   FROM w
