@@ -17,8 +17,9 @@ against the pivots of its keys (a pseudo-random member each), the ``PIVOTS`` wit
 keys. Confirmed links give components. Then every key whose classes still lie in more than one
 component is searched: classes outside the key's main component are tested against their nearest
 class of another one. After that, all pairs in different components under both thresholds are
-tested. Pairs inside a component are not: they cannot change it. Large keys are searched in
-parts: classes outside the main component go to each part.
+tested, in the tasks that find them and without a list of them. Pairs inside a component are not:
+they cannot change it. Large keys are searched in parts: classes outside the main component go to
+each part.
 
 Confirmation counts the common shingles of the full sets, read again from the texts of the
 candidates alone: a bitmap of fixed size picks them before the shuffle.
@@ -30,6 +31,8 @@ null if there is none. Repeated rows fall into one class. Other columns are igno
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -150,11 +153,8 @@ def pivot_pairs(shared: DataFrame) -> DataFrame:
     return top.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
 
 
-def crossing_pairs(shared: DataFrame, known: DataFrame, parts: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b) under the signature thresholds that share a key but no component.
-
-    With ``nearest``, one pair for each class outside a key's main component.
-    """
+def members(shared: DataFrame, known: DataFrame, parts: DataFrame) -> DataFrame:
+    """The classes of every key that has several components, with the groups that search the key."""
     placed = shared.select("key", "class").join(parts.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.withColumn("component", F.coalesce("component", "class"))
     sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -164,14 +164,21 @@ def crossing_pairs(shared: DataFrame, known: DataFrame, parts: DataFrame, percen
         .filter("k > 1").select("key", "main", F.ceil(F.col("rows") / SEARCH_ROWS).alias("groups"))
     )
     own = F.pmod(F.xxhash64("class"), F.col("groups"))
-    members = (
+    return (
         placed.join(mixed, "key")
         .withColumns({"own": own, "major": F.col("component") == F.col("main")})
         .withColumn("group", F.explode(F.when(F.col("major"), F.array("own")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))))
         .join(known.select("class", "n_shingles", "signature"), "class")
         .select("key", "group", "class", "component", "n_shingles", "signature", "major", (F.col("group") == F.col("own")).alias("owned"))
     )
-    cluster = members.repartition(width(shared.sparkSession), "key", "group").sortWithinPartitions("key", "group")
+
+
+MEMBER = "key long, group long, class long, component long, n_shingles long, signature binary, major boolean, owned boolean"
+
+
+def by_group(rows: DataFrame, work: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``work`` on the rows of whole groups, and where these begin and end."""
+    cluster = rows.repartition(width(rows.sparkSession), "key", "group").sortWithinPartitions("key", "group")
 
     def run(batches):
         rest = None
@@ -180,14 +187,12 @@ def crossing_pairs(shared: DataFrame, known: DataFrame, parts: DataFrame, percen
             rows = pa.concat_tables([rest, rows]) if rest is not None else rows
             cuts = _group_begins(rows)
             rest = rows.slice(cuts[-1]) if len(cuts) else rows
-            yield from _search(rows, cuts, percent, nearest)
+            if len(cuts) > 1:
+                yield from work(rows, cuts)
         if rest is not None and rest.num_rows:
-            yield from _search(rest, np.array([0, rest.num_rows]), percent, nearest)
+            yield from work(rest, np.array([0, rest.num_rows]))
 
-    found = map_arrow(cluster, run, "a long, b long, distance int")
-    if nearest:
-        found = found.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best")).select("a", "best.b")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return map_arrow(cluster, run, schema)
 
 
 def _group_begins(rows: pa.Table) -> np.ndarray:
@@ -196,15 +201,13 @@ def _group_begins(rows: pa.Table) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(group) != 0)])) if len(key) else np.zeros(0, int)
 
 
-def _search(rows: pa.Table, cuts: np.ndarray, percent: int, nearest: bool):
-    """Pairs of the groups between ``cuts``: a class outside the main component, and one owned by the group."""
-    if len(cuts) < 2:
-        return
+def _near(rows: pa.Table, cuts: np.ndarray, percent: int, nearest: bool) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """A group's begin and end, a row outside the main component, and the rows owned by the group
+    that are near it, with their distances."""
     number, component, size, key = (rows.column(c).to_numpy() for c in ("class", "component", "n_shingles", "key"))
     major, owned = (rows.column(c).to_numpy().astype(bool) for c in ("major", "owned"))
     symbols, more = symbols_of(rows.column("signature").to_pylist())
     keys = index_keys(symbols)
-    found: list[np.ndarray] = []
     for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         here = np.arange(begin, end)
         mine = here[owned[begin:end]]
@@ -225,18 +228,70 @@ def _search(rows: pa.Table, cuts: np.ndarray, percent: int, nearest: bool):
             else:
                 # The first key that both have reports the pair.
                 at = keys[i][np.argmax(keys[other] == keys[i], axis=1)] == key[i]
-            other, distance = other[at], distance[at]
-            found.append(np.stack([np.full(len(other), number[i]), number[other], distance]))
-    if found:
-        a, b, distance = np.concatenate(found, axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(distance.astype(np.int32))], ["a", "b", "distance"])
+            if len(other[at]):
+                yield begin, end, i, other[at], distance[at]
 
 
-def confirmed(pairs: DataFrame, known: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= percent * union."""
-    pairs = written(pairs, "candidates")
-    nodes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    nodes = written(known.join(nodes, "class", "leftsemi").select("class", "first_doc", *SET), "candidate-classes")
+def nearest_pairs(shared: DataFrame, known: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """One pair (a, b) for each class outside a key's main component: it and the nearest class of
+    another component under the signature thresholds."""
+
+    def work(rows, cuts):
+        number = rows.column("class").to_numpy()
+        found = [(number[i], number[other[0]], distance[0]) for _, _, i, other, distance in _near(rows, cuts, percent, True)]
+        if found:
+            a, b, distance = np.array(found, np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(distance.astype(np.int32))], ["a", "b", "distance"])
+
+    found = by_group(members(shared, known, parts), work, "a long, b long, distance int")
+    best = found.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best")).select("a", "best.b")
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def crossing_links(shared: DataFrame, known: DataFrame, parts: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) between components: all pairs under the signature thresholds are tested on
+    their full sets, where they meet.
+
+    No pair is listed. The members of a group that are part of some pair fetch their texts, and
+    the group's search is done again over these, with the test. A class reports one link to each
+    other component: more would join nothing.
+    """
+
+    def take(rows, cuts):
+        part = np.zeros(rows.num_rows, bool)
+        for _, _, i, other, _ in _near(rows, cuts, percent, False):
+            part[i] = part[other] = True
+        if part.any():
+            yield from rows.filter(pa.array(part)).to_batches()
+
+    taking = written(by_group(members(shared, known, parts), take, MEMBER), "near-members")
+    texts = texts_of(taking.select("class").distinct(), known, docs, n)
+
+    def test(rows, cuts):
+        number, component = (rows.column(c).to_numpy() for c in ("class", "component"))
+        links, sets, of = [], [], None
+        for begin, end, i, other, _ in _near(rows, cuts, percent, False):
+            if of != begin:
+                texts, of = rows.column("text").slice(begin, end - begin).to_pylist(), begin
+                sets = [s for lo, hi in slices(texts) for s in shingle_sets(texts[lo:hi], n)]
+            own, theirs = sets[i - begin], [sets[j - begin] for j in other]
+            lengths = np.array([len(s) for s in theirs])
+            every = np.concatenate(theirs)
+            hit = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+            common = np.add.reduceat(hit.astype(np.int64), np.cumsum(lengths) - lengths)
+            linked = other[100 * common >= percent * (len(own) + lengths - common)]
+            _, first = np.unique(component[linked], return_index=True)
+            links += [(number[i], number[j]) for j in linked[first]]
+        if links:
+            a, b = np.array(links, np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return written(by_group(taking.join(texts, "class"), test, "a long, b long"), "crossing-links")
+
+
+def texts_of(classes: DataFrame, known: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """``class`` and a text of each of the given classes, read again from the documents."""
+    nodes = written(known.join(classes, "class", "leftsemi").select("class", "first_doc", *SET), "candidate-classes")
     bits = id_filter(nodes.select("first_doc"))
 
     def pick(batches):
@@ -252,9 +307,16 @@ def confirmed(pairs: DataFrame, known: DataFrame, docs: DataFrame, n: int, perce
                 )
 
     picked = map_arrow(docs.select(F.xxhash64("doc_id").alias("hash"), "text"), pick, "n_shingles long, fp_a long, fp_b long, text string")
-    texts = written(
+    return written(
         picked.join(nodes.select("class", *SET), SET).groupBy("class").agg(F.min("text").alias("text")), "candidate-texts"
     )
+
+
+def confirmed(pairs: DataFrame, known: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose full sets have 100 * intersection >= percent * union."""
+    pairs = written(pairs, "candidates")
+    nodes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    texts = texts_of(nodes, known, docs, n)
     both = (
         pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
@@ -288,10 +350,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     shared = shared_keys(known)
     links = confirmed(pivot_pairs(shared), known, docs, n, percent)
     parts = written(components(links, "a", "b"), "components")
-    for nearest in (True, False):
-        more = confirmed(crossing_pairs(shared, known, parts, percent, nearest), known, docs, n, percent)
-        links = links.unionByName(more)
-        parts = written(components(links, "a", "b"), "components")
+    links = links.unionByName(confirmed(nearest_pairs(shared, known, parts, percent), known, docs, n, percent))
+    parts = written(components(links, "a", "b"), "components")
+    links = links.unionByName(crossing_links(shared, known, parts, docs, n, percent))
+    parts = written(components(links, "a", "b"), "components")
     of = parts.withColumnRenamed("node", "class")
     numbered = known.select("class", *SET, "first_doc").join(of, "class", "left").withColumn("component", F.coalesce("component", "class"))
     numbered = written(numbered.select("component", *SET, "first_doc"), "class-components")

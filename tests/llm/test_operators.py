@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from small_docs import COPY, ROWS, documents, odd
 
 import corpus_pipeline
@@ -76,6 +77,22 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_links_that_only_the_search_finds(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "pivot_pairs", lambda shared: shared.select(F.col("class").alias("a"), F.col("pivot").alias("b")).limit(0))
+    monkeypatch.setattr(near_dedup, "nearest_pairs", lambda shared, *_: shared.select(F.col("class").alias("a"), F.col("pivot").alias("b")).limit(0))
+    monkeypatch.setattr(near_dedup, "SEARCH_ROWS", 8)
+    random = np.random.default_rng(5)
+    rows = list(ROWS)
+    for i in range(40):
+        own = COPY.split()
+        for at in random.integers(0, len(own), random.integers(0, 12)):
+            own[at] = f"new{random.integers(1000)}"
+        rows.append((100 + i, " ".join(own), "en", "z", None))
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(documents(spark, rows), 4).collect()), key=repr)
+    want = sorted(linked(rows, 4), key=repr)
+    assert got == want and len({c for _, _, c in want}) > 2
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.sets(st.integers(0, SYMBOLS - 1), max_size=MOST_DIFFERENT))
 def test_signatures_under_the_threshold_share_a_key(places):
