@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import batched
 
 import pandas as pd
@@ -25,6 +25,8 @@ ANSWER_SCHEMA = (
 
 # Calls whose answers go back to the JVM together.
 CALLS_PER_FRAME = 100
+# Reasons of failed calls that a run reports.
+REASONS = 10
 
 # Takes up to LABEL_BATCH (permit_num, description) pairs, gives the answer as JSON text.
 Labeler = Callable[[list[tuple[str, str]]], str]
@@ -80,7 +82,7 @@ def batches(frames: Iterator[pd.DataFrame], size: int) -> Iterator[list]:
 
 
 def ask(texts: DataFrame, labeler: Labeler, batch_size: int = V.LABEL_BATCH) -> DataFrame:
-    """Call the labeler in batches; one row per batch with its requests and the answer.
+    """Call the labeler in batches; one row per batch with its requests and the answer or the failure's reason.
 
     Answers name the permit, so a batch never holds two texts of one permit: the label of
     one text would be taken for the other's. A call that raises leaves its batch without an
@@ -94,18 +96,19 @@ def ask(texts: DataFrame, labeler: Labeler, batch_size: int = V.LABEL_BATCH) ->
         for several in batched(batches(frames, batch_size), CALLS_PER_FRAME):
             rows = []
             for batch in several:
+                answer, reason = None, None
                 try:
                     answer = labeler([(row.permit_num, row.description) for row in batch])
-                except Exception:  # the rules cover the batch until the next run
-                    answer = None
+                except Exception as failure:  # the rules cover the batch until the next run
+                    reason = f"{type(failure).__name__}: {failure}"
                 requests = [
                     {"permit_num": row.permit_num, "description_hash": row.description_hash} for row in batch
                 ]
-                rows.append((requests, answer))
-            yield pd.DataFrame(rows, columns=["requests", "answer"])
+                rows.append((requests, answer, reason))
+            yield pd.DataFrame(rows, columns=["requests", "answer", "reason"])
 
     return texts.mapInPandas(
-        call, "requests array<struct<permit_num string, description_hash string>>, answer string"
+        call, "requests array<struct<permit_num string, description_hash string>>, answer string, reason string"
     )
 
 
@@ -148,13 +151,14 @@ def upsert(cache: DataFrame, new: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class LabelRun:
-    """Counters of one run."""
+    """Counters of one run, and the most frequent reasons of failed calls with their counts."""
 
     in_scope: int
     to_label: int
     labelled: int
     failed: int
     cached: int
+    reasons: dict[str, int] = field(default_factory=dict, compare=False)
 
 
 def refresh(population: DataFrame, store: LabelStore, labeler: Labeler | None, model: str) -> LabelRun | None:
@@ -181,7 +185,10 @@ def refresh(population: DataFrame, store: LabelStore, labeler: Labeler | None, m
     # One call at a time per task: as many tasks as there are full batches, up to the width.
     tasks = min(shuffle_width(spark), -(-to_label // V.LABEL_BATCH))
     ask(todo.repartition(tasks), labeler).write.parquet(f"{path}/answers")
-    matched = match_answers(spark.read.parquet(f"{path}/answers"), model)
+    answers = spark.read.parquet(f"{path}/answers")
+    matched = match_answers(answers, model)
     labelled = matched.agg(F.count_if("is_valid")).first()[0]
     store.write(upsert(cache, accepted(matched)))
-    return LabelRun(in_scope, to_label, labelled, to_label - labelled, store.read().count())
+    failures = answers.dropna(subset=["reason"]).groupBy("reason").count().orderBy(F.desc("count"), "reason")
+    reasons = {row["reason"]: row["count"] for row in failures.limit(REASONS).collect()}
+    return LabelRun(in_scope, to_label, labelled, to_label - labelled, store.read().count(), reasons)

@@ -10,7 +10,7 @@ from lotwise import schemas as V
 from lotwise.functions.rules import with_rule_labels
 from lotwise.operators import geocode, labels, scope
 from lotwise.operators.labels import Labeler, LabelRun
-from lotwise.plans import core, marts, staging
+from lotwise.plans import core, marts, quality, staging
 from lotwise.session import prepare
 from lotwise.sources import features, landed
 from lotwise.sources.label_store import LabelStore
@@ -67,6 +67,19 @@ def build_marts(warehouse: Warehouse, cache: DataFrame) -> None:
     warehouse.save(marts.by_month(housing), "multiplex_by_month")
 
 
+def build_quality(warehouse: Warehouse) -> DataFrame:
+    """The quality report over what this run stored."""
+    scoped, addresses = warehouse.read("scoped_permits"), warehouse.read("stg_address_points")
+    keys = scoped.select(*geocode.PERMIT_ID, "geo_id", *geocode.STREET_KEY)
+    hot = geocode.measure_hot_keys(scoped, addresses, warehouse.read("stg_centreline"))
+    report = quality.report(
+        staging.both_sources(*[warehouse.read(f"raw_{source}") for source in PERMIT_SOURCES]),
+        warehouse.read("stg_permits"), warehouse.read("raw_address_points"), addresses,
+        geocode.locate(keys, addresses, hot), scoped,
+    )
+    return warehouse.save(report, "quality_report")
+
+
 def export(warehouse: Warehouse, folder: str, run_stamp: str) -> None:
     """Map files, one JSON document per line."""
     housing = warehouse.read("multiplex_permits")
@@ -78,15 +91,21 @@ def export(warehouse: Warehouse, folder: str, run_stamp: str) -> None:
 def run(
     spark: SparkSession, folders: Folders, as_of: str, run_stamp: str,
     first_date: str = V.MIN_APPLICATION_DATE, labeler: Labeler | None = None, model: str = "",
-    multi_line: bool = False,
+    multi_line: bool = False, label_seed: str | None = None,
 ) -> tuple[dict[str, int], LabelRun | None]:
-    """The whole run; rows by source and the labelling counters."""
+    """The whole run; rows by source and the labelling counters.
+
+    ``label_seed`` is a CSV file of earlier labels, taken over while the label store is empty.
+    """
     warehouse = Warehouse(prepare(spark), folders.warehouse)
     store = LabelStore(spark, folders.label_store)
+    if label_seed and store.latest() is None:
+        store.import_csv(label_seed)
     rows = load_raw(spark, folders.landing, warehouse, first_date, multi_line)
     build_staging(warehouse, as_of)
     population = scope.texts_to_label(scope.in_scope(warehouse.read("stg_permits")))
     labelling = labels.refresh(population, store, labeler, model)
     build_marts(warehouse, store.read())
+    build_quality(warehouse)
     export(warehouse, folders.export, run_stamp)
     return rows, labelling

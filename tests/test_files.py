@@ -158,7 +158,20 @@ def test_daily_run(spark, tmp_path):
         back = features.read_summary(spark, f"{folders.export}/summary.json").first()
         assert json.loads(json.dumps(summary)) == json.loads(json.dumps(back.asDict(recursive=True)))
         assert summary["totals_by_status"][0] == {"status": "active", "permit_count": 6, "net_units_created": 21}
-    assert (labelling.to_label, labelling.labelled) == (9, 0)
+    assert (labelling.to_label, labelling.labelled, labelling.reasons) == (9, 0, {})
+    report = {(r.finding, r.detail): r.n for r in warehouse.read("quality_report").collect()}
+    assert report["repeated permits", "all"] == 0 and report["geometry", "read"] == 1
+    assert sum(n for (finding, _), n in report.items() if finding == "geocode") == 10
+
+    def failing(batch):
+        raise TimeoutError("no answer")
+
+    seed = tmp_path / "seed.csv"
+    seed.write_text("permit_num,description_hash,construction_type,unit_form,model\nP,1,addition,standard,old\n")
+    fresh = daily.Folders(folders.landing, folders.warehouse, str(tmp_path / "other-labels"), folders.export)
+    _, labelling = daily.run(spark, fresh, "2024-01-01", "2024-01-01T00:00:00+00:00", labeler=failing, label_seed=str(seed))
+    assert labelling.failed == labelling.to_label == 10 and set(labelling.reasons) == {"TimeoutError: no answer"}
+    assert LabelStore(spark, fresh.label_store).read().first().model == "old"
     assert LabelStore(spark, folders.label_store).read().count() == 1
 
 
