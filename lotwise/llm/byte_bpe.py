@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lotwise.llm.common import kept, map_arrow
-from lotwise.llm.tokens import byte_characters, encoder, slices
+from lotwise.llm.tokens import ENCODED_CHARS, byte_characters, encoder, slices
 
 
 def byte_table(path: str, pattern: str) -> list[bytes]:
@@ -63,7 +63,7 @@ def encode(docs: DataFrame, path: str, pattern: str, with_offsets: bool = False)
         for batch in batches:
             doc_ids = batch.column(0)
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, ENCODED_CHARS, 2000):
                 ids = own.encode(texts[lo:hi])
                 columns = [doc_ids.slice(lo, hi - lo), pa.array(ids, pa.binary())]
                 names = ["doc_id", "ids"]

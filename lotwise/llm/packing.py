@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lotwise.llm.common import map_arrow, width, written
-from lotwise.llm.tokens import encoder, end_marked, slices
+from lotwise.llm.tokens import ENCODED_CHARS, encoder, end_marked, slices
 
 ROUNDS = 40
 STEP = 0.5
@@ -177,7 +177,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, ENCODED_CHARS, 2000):
                 rows = []
                 for doc_id, packed in zip(doc_ids[lo:hi], encode(texts[lo:hi])):
                     ids = np.frombuffer(end_marked(packed, end_id), "<u4")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lotwise.llm.common import map_arrow, width
-from lotwise.llm.tokens import encoder, end_marked, slices
+from lotwise.llm.tokens import ENCODED_CHARS, encoder, end_marked, slices
 
 CHUNK_BITS = 8
 RANK_BLOCK = 512
@@ -159,7 +159,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
             for batch in batches:
                 doc_ids = batch.column(0).to_pylist()
                 texts = [t or "" for t in batch.column(1).to_pylist()]
-                for lo, hi in slices(texts):
+                for lo, hi in slices(texts, ENCODED_CHARS, 2000):
                     for doc_id, ids in zip(doc_ids[lo:hi], encode(texts[lo:hi])):
                         yield doc_id, end_marked(ids, end_id)
 

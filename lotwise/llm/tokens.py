@@ -11,9 +11,11 @@ from __future__ import annotations
 import base64
 import os
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from lotwise.llm.common import kept, map_arrow
@@ -23,12 +25,19 @@ from lotwise.llm.common import kept, map_arrow
 REMEMBERED = 500_000
 # Where a cut at each space, line end, full stop and comma would part a run: white space before
 # white space, or anything but a Latin letter or ASCII digit before a stop or comma.
-RUN = re.compile(r"\s[ \n]|(?<![A-Za-z0-9À-ÖØ-öø-ɏ])[.,]")
+RUN = (
+    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][ \n]"
+    r"|(?:^|[^A-Za-z0-9À-ÖØ-öø-ɏ])[.,]"
+)
 CUT = re.compile(r"(?<=\S)(?=[ \t\n\r\f\v])")
-# Pieces that are one word: a zero byte after them is a match of its own.
-WORD = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ɏ]+")
-# Characters given to the library at once.
+# Texts of ASCII and Latin letters alone, and the matches of the split pattern in them.
+PLAIN = re.compile(r"[\x00-\x7FÀ-ÖØ-öø-ɏ]*")
+MATCH = re.compile(
+    r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+", re.ASCII
+)
+# Characters that operators take up at once, and that one encoder does.
 BATCH_CHARS = 1 << 20
+ENCODED_CHARS = 1 << 22
 
 
 def load(path: str):
@@ -86,12 +95,15 @@ def from_ranks(path: str, pattern: str):
     return tokenizer
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut before white space that follows something else, and, if there are no runs
-    of such, before stops and commas: no match goes from a letter or digit to what is neither."""
-    if "\0" in text or RUN.search(text):
-        return CUT.split(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n").replace(",", "\0,").replace(".", "\0.").split("\0")
+def marked(text: str, runs: bool) -> str | None:
+    """The text with a zero byte before white space that follows something else, and, if there are
+    no runs of such, before stops and commas: no match goes from a letter or digit to what is
+    neither. None if the text has zero bytes of its own."""
+    if "\0" in text:
+        return None
+    if runs:
+        return CUT.sub("\0", text)
+    return text.replace(" ", "\0 ").replace("\n", "\0\n").replace(",", "\0,").replace(".", "\0.")
 
 
 class Memory:
@@ -115,34 +127,50 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-        # A zero byte between two words is a token of its own and occurs in no word.
-        self.mark = tokenizer.encode("\0", add_special_tokens=False).ids
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.spelling = {b: char for b, char in byte_characters().items() if char != chr(b)}
         self.pieces = Memory(REMEMBERED)
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: set[str]) -> None:
-        known = self.pieces.now
-        words = [piece for piece in new if WORD.fullmatch(piece)]
-        for start in range(0, len(words), 2000):
-            batch = words[start : start + 2000]
-            ids = np.array(self._ids(["\0".join(batch)])[0], dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids)) * 4
-            every, begin = ids.tobytes(), 0
-            for word, end in zip(batch, ends.tolist(), strict=True):
-                known[word] = every[begin:end]
-                begin = end + 4
-        others = list(new.difference(words))
-        for piece, ids in zip(others, self._ids(others)):
-            known[piece] = np.array(ids, dtype="<u4").tobytes()
+        """Plain pieces are matched here and given to the library's model match by match, spelled
+        in its characters for bytes; all others go through the whole library."""
+        known, tokenize, spelling = self.pieces.now, self.model.tokenize, self.spelling
+        space, others = spelling[ord(" ")], []
+        for piece in new:
+            if not PLAIN.fullmatch(piece):
+                others.append(piece)
+                continue
+            if piece.isascii() and piece.isprintable():
+                spelled = [match.replace(" ", space) for match in MATCH.findall(piece)]
+            else:
+                spelled = [match.encode().decode("latin-1").translate(spelling) for match in MATCH.findall(piece)]
+            known[piece] = _packed([token.id for match in spelled for token in tokenize(match)])
+        known.update(zip(others, self._whole(others)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces(text) for text in texts]
-        self._learn(self.pieces.unknown(set().union(*cut)))
+        """Arrow cuts the texts and numbers their distinct pieces; only these are looked up."""
+        runs = pc.match_substring_regex(pa.array(texts, pa.large_string()), RUN).to_pylist()
+        cut = pc.split_pattern(pa.array(map(marked, texts, runs), pa.large_string()), "\0")
+        numbered = cut.values.dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        self._learn(self.pieces.unknown(set(distinct)))
         known = self.pieces.now
-        return [b"".join([known[p] for p in of_text]) for of_text in cut]
+        ids = pa.array([known[piece] for piece in distinct], pa.large_binary()).take(numbered.indices)
+        _, ends, data = ids.buffers()
+        at = np.frombuffer(ends, np.int64)[cut.offsets.to_numpy()].tolist()
+        every = memoryview(data or b"")
+        out = [every[begin:end].tobytes() for begin, end in zip(at, at[1:])]
+        own = [i for i, text in enumerate(texts) if "\0" in text]
+        for i, whole in zip(own, self._whole([texts[i] for i in own])):
+            out[i] = whole
+        return out
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def encoder(path: str, pattern: str | None = None) -> Encoder:
@@ -176,7 +204,7 @@ def encoded(docs: DataFrame, path: str, end_id: int | None = None) -> DataFrame:
         for batch in batches:
             doc_ids = batch.column(0)
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, ENCODED_CHARS, 2000):
                 ids = encode(texts[lo:hi])
                 if end_id is not None:
                     ids = [end_marked(i, end_id) for i in ids]
