@@ -225,16 +225,21 @@ def _near(rows: pa.Table, cuts: np.ndarray, percent: int, nearest: bool) -> Iter
                 continue
             if nearest:
                 at = np.lexsort((number[other], distance))[:1]
-            else:
-                # The first key that both have reports the pair.
-                at = keys[i][np.argmax(keys[other] == keys[i], axis=1)] == key[i]
+                other, distance = other[at], distance[at]
+            # The first key that both have reports the pair.
+            at = keys[i][np.argmax(keys[other] == keys[i], axis=1)] == key[i]
             if len(other[at]):
                 yield begin, end, i, other[at], distance[at]
 
 
 def nearest_pairs(shared: DataFrame, known: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """One pair (a, b) for each class outside a key's main component: it and the nearest class of
-    another component under the signature thresholds."""
+    another component under the signature thresholds.
+
+    The nearest class of all is also the nearest in each key that it shares, so its first shared
+    key reports it alone. Should the searching class lie in that key's main component, the
+    pair is left to the search for crossing links.
+    """
 
     def work(rows, cuts):
         number = rows.column("class").to_numpy()
@@ -253,8 +258,8 @@ def crossing_links(shared: DataFrame, known: DataFrame, parts: DataFrame, docs:
     their full sets, where they meet.
 
     No pair is listed. The members of a group that are part of some pair fetch their texts, and
-    the group's search is done again over these, with the test. A class reports one link to each
-    other component: more would join nothing.
+    the group's search is done again over these, with the test. Of the links found together one is
+    reported for each two components: more would join nothing.
     """
 
     def take(rows, cuts):
@@ -281,9 +286,11 @@ def crossing_links(shared: DataFrame, known: DataFrame, parts: DataFrame, docs:
             common = np.add.reduceat(hit.astype(np.int64), np.cumsum(lengths) - lengths)
             linked = other[100 * common >= percent * (len(own) + lengths - common)]
             _, first = np.unique(component[linked], return_index=True)
-            links += [(number[i], number[j]) for j in linked[first]]
+            for j in linked[first]:
+                two = (component[i], component[j])
+                links.append(((min(two), max(two)), (number[i], number[j])))
         if links:
-            a, b = np.array(links, np.int64).T
+            a, b = np.array(list({between: link for between, link in links}.values()), np.int64).T
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return written(by_group(taking.join(texts, "class"), test, "a long, b long"), "crossing-links")
