@@ -126,10 +126,10 @@ class Memory:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, remembered: int = REMEMBERED):
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.spelling = {b: char for b, char in byte_characters().items() if char != chr(b)}
-        self.pieces = Memory(REMEMBERED)
+        self.pieces = Memory(remembered)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -176,7 +176,8 @@ def _packed(ids: list[int]) -> bytes:
 def encoder(path: str, pattern: str | None = None) -> Encoder:
     """This worker's encoder for a JSON file, or for a rank file and its split pattern."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    build = (lambda: Encoder(load(path))) if pattern is None else (lambda: Encoder(from_ranks(path, pattern)))
+    # Decoding has workers of its own beside the encoder's: half the memory is left for pieces.
+    build = (lambda: Encoder(load(path))) if pattern is None else (lambda: Encoder(from_ranks(path, pattern), REMEMBERED // 2))
     return kept(("encoder", path, pattern), build)
 
 
