@@ -8,6 +8,8 @@ country codes and top-level domains stay. Check digits are computed anew.
 
 Kinds: email, card (Luhn), iban (mod 97), ssn, ip (four bytes), date (year-first, and day or
 month first, between 1800 and 2199), phone. Numbers that fail their check are not touched.
+North American phones whose area or exchange starts with 0 or 1 are phones too: they are permuted
+among themselves.
 
 Null and empty texts stay as they are; texts without finds come back unchanged. Every row is
 treated by itself, so ties and repeated rows give equal results. All columns stay.
@@ -123,6 +125,11 @@ def iban_digits(country: str, body: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+def assignable(national: str) -> bool:
+    """Whether area and exchange of ten digits have first digits that North America assigns."""
+    return national[0] >= "2" and national[3] >= "2"
+
+
 class Pseudonyms:
     """Replaces the values of a text; remembers values it has met."""
 
@@ -199,10 +206,19 @@ class Pseudonyms:
             return None
         national = value.startswith("+1") or not value.startswith("+")
         keep = len(digits) - 10 if national else len(re.match(r"\+([0-9]{1,3}?)(?=[ .(-])|\+([0-9])", value)[0]) - 1
-        if keep < 0 or (national and (keep > 1 or digits[keep] < "2" or digits[keep + 3] < "2")):
+        if keep < 0 or (national and keep > 1):
             return None
-        limits = {0: "23456789", 3: "23456789"} if national else None
-        return refilled(value, digits[:keep] + permuted(digits[keep:], "phone", self.permute, first=limits))
+        other, limits = digits[keep:], {0: "23456789", 3: "23456789"}
+        if not national:
+            other = permuted(other, "phone", self.permute)
+        elif assignable(other):
+            other = permuted(other, "phone", self.permute, first=limits)
+        else:
+            # Walks past assignable numbers, which have pseudonyms of their own.
+            other = permuted(other, "unassigned", self.permute)
+            while assignable(other):
+                other = permuted(other, "unassigned", self.permute)
+        return refilled(value, digits[:keep] + other)
 
     def _cards(self, value: str) -> str | None:
         """Runs of digit groups may hold a card and more: the longest valid start of them counts."""

@@ -154,6 +154,18 @@ def test_pseudonyms(spark):
     assert pii.pseudonymise(odd(spark), b"key", with_spans=False).columns == odd(spark).columns
 
 
+@pytest.mark.parametrize("phone", ["+1 (017) 555-7713", "+1 (139) 555-2766", "+1 (415) 155-2671", "+1 (826) 555-4081"])
+def test_phones_with_any_first_digit(phone):
+    own = pii.Pseudonyms(b"key")
+    text, spans = own.apply(f"call {phone} now")
+    new = text[5:-4]
+    assert text.startswith("call ") and text.endswith(" now") and spans == [(5, 5 + len(phone), "phone")]
+    assert new != phone and re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", phone) and new.startswith("+1 (")
+    before, after = (re.sub("[^0-9]", "", p)[1:] for p in (phone, new))
+    assert pii.assignable(after) == pii.assignable(before)
+    assert own.apply(f"{phone}, {phone}")[0] == f"{new}, {new}"
+
+
 def test_languages(spark):
     de, en = "der die das und ist nicht von schön über ", "the and of is not with from this that "
     rows = [(i, (de if i % 2 else en) * (1 + i % 3), "de" if i % 2 else "en", None, None) for i in range(40)]
