@@ -11,6 +11,9 @@ month first, between 1800 and 2199), phone. Numbers that fail their check are no
 North American phones whose area or exchange starts with 0 or 1 are phones too: they are permuted
 among themselves.
 
+Where a match fails its check, its shorter ends are tried, then the other kinds at that place; if
+none is valid, the search goes on at the next group of characters.
+
 Null and empty texts stay as they are; texts without finds come back unchanged. Every row is
 treated by itself, so ties and repeated rows give equal results. All columns stay.
 """
@@ -18,7 +21,8 @@ treated by itself, so ties and repeated rows give equal results. All columns sta
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from hashlib import blake2b
 
@@ -33,19 +37,39 @@ KINDS = ("email", "card", "iban", "ssn", "ip", "date", "phone")
 REMEMBERED = 100_000
 
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++)@((?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,})(?![A-Za-z0-9-])")
-# Year-first and other dates, numbers by their separators, then runs of digits.
-NUMBER = re.compile(
-    r"(?<![A-Za-z0-9])(?:"
-    r"(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
-    r"|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]))"
-    r"|(?P<ymd>[0-9]{4}(?P<s1>[-/.])[0-9]{1,2}(?P=s1)[0-9]{1,2}(?![0-9]))"
-    r"|(?P<dmy>[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4}(?![0-9]))"
-    r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
-    r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))"
-    r")"
-    r"|(?<![A-Za-z0-9+])(?P<phone>(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
+# Kinds in the order in which they are tried at a place. NUMBER finds the places.
+AFTER_OTHER, AFTER_PLUS = r"(?<![A-Za-z0-9])", r"(?<![A-Za-z0-9+])"
+IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
+YMD = r"[0-9]{4}(?P<s1>[-/.])[0-9]{1,2}(?P=s1)[0-9]{1,2}(?![0-9])"
+DMY = r"[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4}(?![0-9])"
+SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+CARD = r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+PHONE = (
+    r"(?:(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
     r"|\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9]))"
 )
+NUMBER = re.compile(f"{AFTER_OTHER}(?:{IBAN}|{IP}|{YMD}|{DMY}|{SSN}|{CARD})|{AFTER_PLUS}{PHONE}")
+# A run of groups of fewer than four digits, or with different separators, is a card only if it is
+# no phone. Kinds with True may have taken in what follows: their shorter ends are tried too.
+PLAIN_CARD = re.compile(r"[0-9]{13,19}|[0-9]{4,}(?:(?P<s>[ -])[0-9]{4,})(?:(?P=s)[0-9]{4,})*(?:(?P=s)[0-9]+)?")
+TRIED = [
+    ("iban", re.compile(AFTER_OTHER + IBAN), True),
+    ("ip", re.compile(AFTER_OTHER + IP), False),
+    ("ymd", re.compile(AFTER_OTHER + YMD), False),
+    ("dmy", re.compile(AFTER_OTHER + DMY), False),
+    ("ssn", re.compile(AFTER_OTHER + SSN), False),
+    ("plain_card", re.compile(AFTER_OTHER + CARD), True),
+    ("phone", re.compile(AFTER_PLUS + PHONE), True),
+    ("card", re.compile(AFTER_OTHER + CARD), True),
+]
+KIND_OF = {"ymd": "date", "dmy": "date", "plain_card": "card"}
+# Digits after the country code where a country's numbers all have as many. A phone that has a
+# group end there ends there; any other takes all groups that fit.
+NATIONAL_DIGITS = {
+    "1": 10, "7": 10, "27": 9, "30": 10, "31": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9,
+    "52": 10, "57": 10, "61": 9, "65": 8, "90": 10, "91": 10, "351": 9, "380": 9, "420": 9, "421": 9,
+}
 FIRST_DAY, DAYS = date(1800, 1, 1), (date(2200, 1, 1) - date(1800, 1, 1)).days
 
 
@@ -130,6 +154,12 @@ def assignable(national: str) -> bool:
     return national[0] >= "2" and national[3] >= "2"
 
 
+def complete(phone: str) -> bool:
+    """Whether a phone with a country code has just the digits that its country's numbers have."""
+    digits = re.sub("[^0-9]", "", phone.replace("(0)", ""))
+    return phone.startswith("+") and any(NATIONAL_DIGITS.get(digits[:n]) == len(digits) - n for n in (1, 2, 3))
+
+
 class Pseudonyms:
     """Replaces the values of a text; remembers values it has met."""
 
@@ -220,34 +250,64 @@ class Pseudonyms:
                 other = permuted(other, "unassigned", self.permute)
         return refilled(value, digits[:keep] + other)
 
-    def _cards(self, value: str) -> str | None:
-        """Runs of digit groups may hold a card and more: the longest valid start of them counts."""
-        groups = re.split("([ -])", value)
-        for begin in range(0, len(groups), 2):
-            for end in range(len(groups), begin, -2):
-                if found := self._one("card", "".join(groups[begin:end])):
-                    rest = "".join(groups[end:])
-                    return "".join(groups[:begin]) + found + (self._cards(rest) or rest if rest else "")
+    def _plain_card(self, value: str) -> str | None:
+        return self._one("card", value) if PLAIN_CARD.fullmatch(value) else None
+
+    def _at(self, text: str, begin: int, limit: int) -> tuple[int, str, str] | None:
+        """End, new value and kind of the first kind that has a valid value at ``begin``."""
+        for kind, pattern, open_end in TRIED:
+            match = pattern.match(text, begin, limit)
+            if not match:
+                continue
+            ends = [match.end()]
+            if open_end:
+                ends += [e for e in range(match.end() - 1, begin, -1) if text[e] in " .-(" and (text[e - 1].isalnum() or text[e - 1] == ")")]
+            if kind == "phone" and len(ends) > 1:
+                ends.sort(key=lambda e: not complete(text[begin:e]))
+            for end in ends:
+                # What the pattern wants behind a value holds at the end of a group.
+                if end < match.end() and not pattern.fullmatch(text, begin, end):
+                    continue
+                if (new := self._one(kind, text[begin:end])) is not None:
+                    return end, new, KIND_OF.get(kind, kind)
         return None
 
+    def _numbers(self, text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, str, str]]:
+        """Begin, end, new value and kind of all numbers outside the ``taken`` spans, from left to right.
+
+        Where no kind has a valid value, the search goes on at the next place that may begin one.
+        """
+        begins, ends = [t[0] for t in taken], [t[1] for t in taken]
+        at = 0
+        while match := NUMBER.search(text, at):
+            begin = match.start()
+            # The next span that ends behind this place, if any.
+            span = bisect_right(ends, begin)
+            if span < len(taken) and begins[span] <= begin:
+                at = ends[span]
+                continue
+            limit = begins[span] if span < len(taken) else len(text)
+            found = self._at(text, begin, limit)
+            if found:
+                yield begin, *found
+            at = found[0] if found else begin + 1
+
     def apply(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
         """The new text and what was replaced: begin, end (in the new text) and kind."""
         spans: list[tuple[int, int, str]] = []
         for pattern in (EMAIL, NUMBER):
-            if pattern is EMAIL and "@" not in text:
+            if pattern is EMAIL:
+                found = [(m.start(), m.end(), self._one("email", m[0]), "email") for m in EMAIL.finditer(text)] if "@" in text else []
+            else:
+                found = list(self._numbers(text, spans))
+            if not found:
                 continue
             out, last, size, moved = [], 0, 0, []
-            for match in pattern.finditer(text):
-                group = "email" if pattern is EMAIL else match.lastgroup
-                new = self._cards(match[0]) if group == "card" else self._one(group, match[0])
-                if new is None or any(a < match.end() and b > match.start() for a, b, _ in spans):
-                    continue
-                out += [text[last : match.start()], new]
-                size += match.start() - last + len(new)
-                moved.append((size - len(new), match.start(), match.end(), len(new), "date" if group in ("ymd", "dmy") else group))
-                last = match.end()
-            if not moved:
-                continue
+            for begin, end, new, kind in found:
+                out += [text[last:begin], new]
+                size += begin - last + len(new)
+                moved.append((size - len(new), begin, end, len(new), kind))
+                last = end
             shifted = []
             for a, b, kind in spans:
                 by = sum(n - (e - s) for _, s, e, n, _ in moved if e <= a)

@@ -166,6 +166,32 @@ def test_phones_with_any_first_digit(phone):
     assert own.apply(f"{phone}, {phone}")[0] == f"{new}, {new}"
 
 
+@pytest.mark.parametrize("text, values", [
+    ("call 415-555-2671 415-555-2672", ["415-555-2671", "415-555-2672"]),
+    ("call 415 555 2671 415 555 2672", ["415 555 2671", "415 555 2672"]),
+    ("10012 123-45-6789", ["123-45-6789"]),
+    ("415-555-2671 2024-01-05", ["415-555-2671", "2024-01-05"]),
+    ("415-555-2671 365 days", ["415-555-2671"]),
+    ("415-555-2671 2024.x@mail.com", ["415-555-2671", "2024.x@mail.com"]),
+    ("AT61 1904 3002 3457 3201 EUR", ["AT61 1904 3002 3457 3201"]),
+    ("AT61 1904 3002 3457 3201 PLEASE", ["AT61 1904 3002 3457 3201"]),
+    ("+44 20 7946 0958 2024", ["+44 20 7946 0958"]),
+    ("+44 20 7946 0958 12", ["+44 20 7946 0958"]),
+    ("+1 (017) 555-7713 2024", ["+1 (017) 555-7713"]),
+    ("7 4111 1111 1111 1111 5", ["4111 1111 1111 1111"]),
+    ("4111 1111 1111 1112 and 2024-13-45 +12", []),
+])
+def test_values_beside_others_that_fail_their_check(text, values):
+    own = pii.Pseudonyms(b"key")
+    want = text
+    for value in values:
+        new, spans = own.apply(value)
+        assert new != value and spans[0][:2] == (0, len(value))
+        want = want.replace(value, new)
+    new, spans = own.apply(text)
+    assert new == want and [len(new[a:b]) for a, b, _ in spans] == [len(v) for v in values]
+
+
 def test_languages(spark):
     de, en = "der die das und ist nicht von schön über ", "the and of is not with from this that "
     rows = [(i, (de if i % 2 else en) * (1 + i % 3), "de" if i % 2 else "en", None, None) for i in range(40)]
