@@ -1,7 +1,7 @@
 """Exact duplicates after lower-casing A-Z, with frequent texts taken out of the shuffle.
 
-1. Every row's digest (SHA-256 of the normalised text) is written once; later steps read
-   40 bytes a row instead of the texts.
+1. Every row's digest (SHA-256 of the normalised text) and a row number are written once; later
+   steps read 48 bytes a row instead of the texts.
 2. Frequent-items sketches of the Misra-Gries family, one per group of map tasks, name the
    digests that may hold more than 1 of ``HEAVY`` rows. A sketch errs, so each named digest is
    counted exactly, with partial counts before the shuffle, and kept as heavy only if it holds
@@ -55,11 +55,12 @@ def heavy_digests(rows: DataFrame) -> DataFrame:
 
 def resolve(docs: DataFrame) -> DataFrame:
     """All rows: doc_id, digest, keep_id, group_size, kept."""
-    rows = written(docs.select("doc_id", digest(F.col("text")).alias("digest")), "digests")
-    named = F.broadcast(heavy_digests(rows))
-    # The row to keep among equal texts and ids is picked by its place in the written files,
-    # which no later step changes.
-    placed = rows.withColumn("place", F.monotonically_increasing_id())
+    # The row to keep among equal texts and ids is picked by its place, which is stored: numbers made
+    # anew by each job would change with the number of cores that Spark packs files for.
+    placed = written(
+        docs.select("doc_id", digest(F.col("text")).alias("digest"), F.monotonically_increasing_id().alias("place")), "digests"
+    )
+    named = F.broadcast(heavy_digests(placed))
     best = F.max(F.struct("doc_id", "place"))
     winners = written(
         placed.join(named, "digest", "leftsemi").groupBy("digest")

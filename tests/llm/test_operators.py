@@ -41,6 +41,23 @@ def test_heavy_digests_take_the_same_rows(spark):
     assert found.filter("kept").count() == 105
 
 
+def test_one_row_stays_however_files_are_packed(spark):
+    rows = [(None if i % 3 else 7, f"t{i % 4}", None, None, None) for i in range(400)]
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        # Every file a task of its own in one job, all files in one task in the next.
+        for name in names:
+            spark.conf.set(name, "8k")
+        found = exact_dedup.resolve(documents(spark, rows).repartition(6))
+        spark.conf.set(names[0], "1g")
+        kept = Counter(r["digest"] for r in found.collect() if r["kept"])
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(kept.values()) == [1, 1, 1, 1]
+
+
 def linked(rows, n, percent=80):
     sets = []
     for _, text, *_ in rows:
