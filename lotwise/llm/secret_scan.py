@@ -10,8 +10,9 @@ Four kinds of spans, begin and end in code points:
   entropy. Hexadecimal and mixed strings have a threshold each; strings of letters or digits
   alone are never taken. The span goes from the first window above the threshold to the last.
 
-Strings on the allow list, and strings that overlap a span of another kind, give no entropy
-span. The first three kinds are always reported. DataFrame functions only.
+Spans of the other kinds, and placeholder words and runs of one character, cut a string: what is
+left on both sides is judged by itself. A UUID gives no entropy span. The first three kinds are
+always reported. DataFrame functions only.
 
 A null or empty text has no spans. Repeated rows are each scanned; other columns stay as they are,
 but columns named like the two results are replaced.
@@ -39,10 +40,10 @@ ONLY_HEX = r"^([0-9a-f]+|[0-9A-F]+)$"
 # Bits per character. Random strings lie near 3.4 (16 characters) and 4.0 (64) in windows of 20.
 HEX_BITS = 3.0
 MIXED_BITS = 3.7
-ALLOWED = (
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-    r"|example|sample|dummy|placeholder|changeme|(.)\1{7,}"
-)
+# Allowed strings: a UUID, alone or between separators; words and repeated characters within others.
+UUID = r"(?i)^[+/_=-]*[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}[+/_=-]*$"
+ALLOWED_WORDS = ("example", "sample", "dummy", "placeholder", "changeme")
+REPEATED = r"(?i)(.)\1{7}"
 # Matches are placed in blocks of so many: within a block the work grows with its square.
 BLOCK = 256
 
@@ -62,7 +63,7 @@ def _gap_matches(text: Column, pattern: str, groups: tuple[int, ...] = (0,)) ->
     return F.when(text.rlike(pattern), pairs).otherwise(F.array()).cast(f"array<struct<{fields}>>")
 
 
-def _placed(matches: str, rank: int) -> Column:
+def _placed(matches: str | Column, rank: int) -> Column:
     """Spans of all matches of a ``_gap_matches`` column: lengths summed per block, then within it."""
     total = lambda m: F.char_length(m["gap"]).cast("long") + F.coalesce(F.char_length(m["g0"]), F.lit(0))
     block = lambda b: F.slice(matches, b * BLOCK + 1, F.lit(BLOCK))
@@ -134,19 +135,44 @@ def _hot_part(value: Column, bits: float) -> Column:
     )
 
 
+def _pieces(s: Column, base: Column) -> Column:
+    """What is left of a candidate span without ``base`` spans and allowed strings, as spans."""
+    clashes = F.filter(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
+    blanks = lambda n: F.repeat(F.lit(" "), n.cast("int"))
+
+    def blanked(value: Column, b: Column) -> Column:
+        start, end = F.greatest(b["start"], s["start"]), F.least(b["end"], s["end"])
+        return F.overlay(value, blanks(end - start), (start - s["start"] + 1).cast("int"), (end - start).cast("int"))
+
+    left = F.aggregate(clashes, s["value"], blanked)
+    for word in ALLOWED_WORDS:
+        left = F.regexp_replace(left, f"(?i){word}", " " * len(word))
+    left = F.regexp_replace(left, REPEATED, " " * 8)
+
+    def moved(p: Column) -> Column:
+        return F.struct(
+            (s["start"] + p["start"]).alias("start"), p["rank"].alias("rank"), (s["start"] + p["end"]).alias("end"),
+            p["kind"].alias("kind"), p["value"].alias("value"),
+        )
+
+    cut = F.transform(_placed(_gap_matches(left, CANDIDATE), KINDS.index("entropy")), moved)
+    whole = (F.size(clashes) == 0) & ~s["value"].rlike("(?i)" + "|".join([*ALLOWED_WORDS, r"(.)\1{7}"]))
+    return F.when(whole, F.array(s)).otherwise(cut).cast(SPAN)
+
+
 def _entropy_spans(candidates: Column, base: Column) -> Column:
-    """Entropy spans of candidate spans, without allowed strings and what ``base`` overlaps."""
+    """Entropy spans of candidate spans, around allowed strings and what ``base`` holds."""
 
     def keep(s: Column) -> Column:
-        clash = F.exists(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
         mixed = s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")
-        return mixed & ~s["value"].rlike(ALLOWED) & ~clash
+        return mixed & ~s["value"].rlike(UUID)
 
     def narrowed(s: Column) -> Column:
         part = F.when(s["value"].rlike(ONLY_HEX), _hot_part(s["value"], HEX_BITS)).otherwise(_hot_part(s["value"], MIXED_BITS))
         return F.struct(s.alias("s"), part.alias("part"))
 
-    found = F.filter(F.transform(F.filter(candidates, keep), narrowed), lambda x: x["part"]["first"].isNotNull())
+    pieces = F.flatten(F.transform(candidates, lambda s: _pieces(s, base)))
+    found = F.filter(F.transform(F.filter(pieces, keep), narrowed), lambda x: x["part"]["first"].isNotNull())
     return F.transform(
         found,
         lambda x: F.struct(

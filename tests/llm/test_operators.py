@@ -146,6 +146,20 @@ def test_secrets(spark):
     assert secret_scan.scan(odd(spark)).count() == len(ROWS)
 
 
+def test_secrets_beside_other_strings(spark):
+    key = "q7Rk2ZtVb9XwLm4NcY8HsJd3FgPa6TeU"
+    beside = [f"/sample-data/{key}", f"example_key={key}", f"--------{key}", f"{'0a1b2c3d4e' * 4}/{key}", f"{key}/{'0a1b2c3d4e' * 4}/{key}"]
+    none = ["123e4567-e89b-12d3-a456-426614174000", "example/123e4567-e89b-12d3-a456-426614174000", "a" * 30 + "1", "sample-data/example_key1"]
+    rows = [(100 + i, f"\u00e4 {text} x", None, None, None) for i, text in enumerate([*beside, *none])]
+    found = by_id(secret_scan.scan(documents(spark, rows)))
+    for i, text in enumerate([*beside, *none]):
+        places = [m.span() for m in re.finditer(key, rows[i][1])]
+        spans = [s for s in found[100 + i]["spans"] if s["kind"] == "entropy"]
+        assert len(spans) == len(places), text
+        # The hot part holds all of the key but characters at its ends that repeat others.
+        assert all(s["start"] <= a + 4 and s["end"] >= b - 4 for s, (a, b) in zip(spans, places))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.integers(2, 5000), st.integers(0, 10**9))
 def test_permutation_of_any_size_and_back(size, value):
