@@ -35,7 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lotwise.llm.common import id_filter, map_arrow, passing, width, written
 from lotwise.llm.components import components
@@ -89,7 +89,8 @@ def index_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """Per row: doc_id, n_shingles, a 128-bit fingerprint of the set (fp_a, fp_b), signature."""
+    """Per row: doc_id, a number, the text's digest, n_shingles, a 128-bit fingerprint of the set
+    (fp_a, fp_b), signature. Numbers hold once they are written."""
 
     def run(batches):
         for batch in batches:
@@ -99,24 +100,33 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
                 sums = [[int((mix(s ^ U64(c))).sum(dtype=U64).view(np.int64)) for s in sets] for c in (77, 88)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
+                        *[batch.column(c).slice(lo, hi - lo) for c in (0, 2, 3)], pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(sums[0], pa.int64()), pa.array(sums[1], pa.int64()),
                         pa.array([signature(s) if len(s) else None for s in sets], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "fp_a", "fp_b", "signature"],
+                    ["doc_id", "row", "digest", "n_shingles", "fp_a", "fp_b", "signature"],
                 )
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, fp_a long, fp_b long, signature binary")
+    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"), text_digest().alias("digest"))
+    return map_arrow(numbered, run, "doc_id long, row long, digest binary, n_shingles long, fp_a long, fp_b long, signature binary")
+
+
+def text_digest() -> Column:
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
 
 
 SET = ["n_shingles", "fp_a", "fp_b"]
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """One row per distinct non-empty set: class (a number), smallest doc_id, keys."""
+    """One row per distinct non-empty set: class (a number), smallest doc_id, its first row, keys."""
     grouped = (
         rows.filter("n_shingles > 0").groupBy(*SET)
-        .agg(F.min("doc_id").alias("first_doc"), F.first("signature").alias("signature"))
+        .agg(
+            F.min("doc_id").alias("first_doc"),
+            F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first_row"),
+            F.first("signature").alias("signature"),
+        )
         .withColumn("class", F.monotonically_increasing_id())
     )
 
@@ -130,7 +140,7 @@ def classes(rows: DataFrame) -> DataFrame:
             )
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "keys"])
 
-    schema = "n_shingles long, fp_a long, fp_b long, first_doc long, signature binary, class long, keys array<bigint>"
+    schema = "n_shingles long, fp_a long, fp_b long, first_doc long, first_row long, signature binary, class long, keys array<bigint>"
     return written(map_arrow(grouped, run, schema), "classes")
 
 
@@ -347,11 +357,8 @@ def confirmed(pairs: DataFrame, known: DataFrame, docs: DataFrame, n: int, perce
     return written(map_arrow(both, check, "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """All rows: doc_id, n_shingles, component_id, kept (the row names its component).
-
-    Of rows that share the component's id, all have ``kept``.
-    """
+def decided(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """All rows: doc_id, digest of the text, n_shingles, component_id, kept."""
     rows = written(sketches(docs, n), "sketches")
     known = classes(rows)
     shared = shared_keys(known)
@@ -362,19 +369,44 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     links = links.unionByName(crossing_links(shared, known, parts, docs, n, percent))
     parts = written(components(links, "a", "b"), "components")
     of = parts.withColumnRenamed("node", "class")
-    numbered = known.select("class", *SET, "first_doc").join(of, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    numbered = written(numbered.select("component", *SET, "first_doc"), "class-components")
-    first = numbered.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    named = numbered.join(first, "component").select(*SET, "component_id")
-    joined = rows.select("doc_id", *SET).join(named, SET, "left")
-    component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    numbered = known.select("class", *SET, "first_doc", "first_row").join(of, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    numbered = written(numbered.select("component", *SET, "first_doc", "first_row"), "class-components")
+    first = numbered.groupBy("component").agg(
+        F.min("first_doc").alias("component_id"),
+        F.min_by("first_row", F.struct(F.col("first_doc").isNull(), "first_doc", "first_row")).alias("kept_row"),
+    )
+    named = numbered.join(first, "component").select(*SET, "component_id", "kept_row")
+    joined = rows.select("doc_id", "row", "digest", *SET).join(named, SET, "left")
+    linked = F.col("n_shingles") > 0
     return joined.select(
-        "doc_id", "n_shingles", component_id.alias("component_id"), component_id.eqNullSafe(F.col("doc_id")).alias("kept")
+        "doc_id", "digest", "n_shingles", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        (~linked | (F.col("row") == F.col("kept_row"))).alias("kept"),
     )
 
 
+def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """All rows: doc_id, n_shingles, component_id, kept.
+
+    Exactly one row of a component is ``kept``: one with its id, or any if no row has an id. Rows
+    without shingles are components of their own.
+    """
+    return decided(docs, n, percent).drop("digest")
+
+
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that name their component, with all their columns."""
+    """One row of each component of ``docs``, with all columns.
+
+    Rows come back by (doc_id, digest of the text); of equal rows with one id, one is taken. Rows
+    without words have no component and all stay.
+    """
     names = [F.col(f"`{c}`") for c in docs.columns]
-    found = near_duplicates(docs, n, percent).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "leftsemi").select(*names)
+    keys = [
+        F.coalesce("doc_id", F.lit(0)).alias("_near_id"), F.col("doc_id").isNull().alias("_near_no_id"),
+        F.col("_near_digest"),
+    ]
+    on = ["_near_id", "_near_no_id", "_near_digest"]
+    kept = decided(docs, n, percent).filter("kept AND n_shingles > 0").select("doc_id", F.col("digest").alias("_near_digest")).select(*keys)
+    has_words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    marked = docs.filter(has_words).withColumn("_near_digest", text_digest()).select(*names, *keys)
+    chosen = marked.join(kept, on, "leftsemi").dropDuplicates(on).select(*names)
+    return chosen.unionByName(docs.filter(~has_words).select(*names))

@@ -94,6 +94,17 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    other = " ".join(f"other{i}" for i in range(40))
+    rows = [(None, COPY, "a", None, None), (None, COPY + " tail", "b", None, None), (None, COPY, "c", None, None)]
+    rows += [(5, other, "a", None, None), (5, other + " x", "b", None, None), (5, "alone in its words", "c", None, None)]
+    rows += [(6, other, "a", None, None), (None, "", "a", None, None), (None, "", "b", None, None), (None, None, "c", None, None)]
+    kept = near_dedup.one_of_each(documents(spark, rows)).collect()
+    texts = Counter((r["text"] or "").split(" ")[0] for r in kept)
+    assert texts == {"word0": 1, "other0": 1, "alone": 1, "": 3}
+    assert {r["doc_id"] for r in kept if r["text"]} == {None, 5}
+
+
 def test_links_that_only_the_search_finds(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "pivot_pairs", lambda shared: shared.select(F.col("class").alias("a"), F.col("pivot").alias("b")).limit(0))
     monkeypatch.setattr(near_dedup, "nearest_pairs", lambda shared, *_: shared.select(F.col("class").alias("a"), F.col("pivot").alias("b")).limit(0))
