@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lotwise.llm import byte_bpe, exact_dedup, language, lm, near_dedup, packing, pii, quality, secret_scan, token_store
+from lotwise.llm import (
+    byte_bpe, exact_dedup, language, lm, near_dedup, packing, pii, quality, secret_scan, token_store, toxicity,
+)
 from lotwise.llm.common import doc_remainder, documents, table
 from lotwise.session import scratch_path
 
@@ -100,6 +102,15 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), n=4)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.learn(docs.filter(doc_remainder(5) != 0), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (doc_remainder(5) == 0).alias("held_out"), "score", "predicted",
+        F.size("passages").cast("long").alias("n_passages"),
+    )
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_language": op2_language,
@@ -111,4 +122,5 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dedup": op10_near_dedup,
+    "op11_toxicity": op11_toxicity,
 }
