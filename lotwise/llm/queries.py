@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lotwise.llm import (
     byte_bpe, exact_dedup, language, lm, near_dedup, packing, pii, quality, secret_scan, token_store, toxicity,
+    whitening,
 )
 from lotwise.llm.common import doc_remainder, documents, table
 from lotwise.session import scratch_path
@@ -111,6 +112,10 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_language": op2_language,
@@ -123,4 +128,5 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dedup": op10_near_dedup,
     "op11_toxicity": op11_toxicity,
+    "op12_whitening": op12_whitening,
 }
