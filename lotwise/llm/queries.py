@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lotwise.llm import (
-    byte_bpe, exact_dedup, language, lm, near_dedup, packing, pii, quality, secret_scan, token_store, toxicity,
-    whitening,
+    byte_bpe, exact_dedup, language, lm, near_dedup, packing, pii, quality, secret_scan, spelling, token_store,
+    toxicity, whitening,
 )
 from lotwise.llm.common import doc_remainder, documents, table
 from lotwise.session import scratch_path
@@ -116,6 +116,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_language": op2_language,
@@ -129,4 +133,5 @@ QUERIES = {
     "op10_near_dedup": op10_near_dedup,
     "op11_toxicity": op11_toxicity,
     "op12_whitening": op12_whitening,
+    "op13_spelling": op13_spelling,
 }
