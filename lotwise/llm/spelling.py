@@ -13,8 +13,9 @@ its first ``depth`` levels: each of its subtrees, named by these counts, belongs
 shuffle. A word is sent to its own subtree, as a resident, and to those subtrees behind it in order
 that it can reach, as a visitor with what it has left to spend. Every near pair meets exactly once,
 or twice if both live in one subtree, where each looks for the other. A subtree is searched for many
-words at a time, level by level, in slices. ``depth`` is the least at which no subtree has more than
-``SUBTREE`` words; it is measured, so subtrees stay small however large the vocabulary. What leaves a
+words at a time, level by level, in slices. ``depth`` is the least at which no subtree has more words
+than an even share of the shuffle's partitions, or than ``SUBTREE``; it is measured, so subtrees stay
+small however large the vocabulary. What leaves a
 subtree is a row per word with the number of its near words there and the most frequent of them:
 pairs are never listed. Forms are followed by joins of words that have one; each form is ten times as
 frequent as the word before, so their number is bounded by the logarithm of the largest count.
@@ -38,7 +39,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 import lotwise
-from lotwise.llm.common import LETTERS_LOW, LETTERS_UP, map_arrow, written
+from lotwise.llm.common import LETTERS_LOW, LETTERS_UP, map_arrow, width, written
 
 # What a run of letters is, and which runs lose a letter.
 RUN_LETTERS = "A-Za-zÀ-ÿ"
@@ -51,6 +52,8 @@ GROUPS = 16
 # Levels of the trie, groups that vary most from word to word first: e u, a q, i y, n, c s, ...
 LEVELS = (5, 1, 9, 14, 3, 4, 2, 15, 12, 8, 13, 7, 11, 0, 6, 10)
 SUBTREE = 50_000
+# Subtrees of fewer words than this are not divided for the sake of even shares.
+SMALL_SUBTREE = 1_000
 SLICE = 4096
 SHORT = 32
 # Letters compared at once.
@@ -245,9 +248,10 @@ def _trunk(word: Column, depth: int) -> Column:
 
 
 def fitting_depth(words: DataFrame, subtree: int) -> int:
-    """The least number of levels after which no subtree holds more than ``subtree`` words; all but
-    one level if none does. One row per level and round is read."""
+    """The least number of levels after which no subtree holds more than ``subtree`` words or an
+    even share; all but one level if none does. One row per level and round is read."""
     total = words.count()
+    subtree = min(subtree, max(SMALL_SUBTREE, total // width(words.sparkSession)))
     depth = 2
     while depth < GROUPS - 1 and total > subtree:
         largest = words.groupBy(_trunk(F.col("word"), depth).alias("trunk")).count().agg(F.max("count")).first()[0]
