@@ -30,6 +30,8 @@ SOME_FACETS = Facets(
     months=("1996-03", "1999-10"),
 )
 ZOOM = 12
+# The stub answers at once, so a task may as well hold many calls.
+CALLS_PER_COMMIT = 50
 
 
 def query(make: Callable[[core.RawTables], DataFrame]) -> Callable[[core.RawTables], DataFrame]:
@@ -183,7 +185,7 @@ def label_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = LabelStore(spark, scratch_path(spark, "labels"))
     store.write(raw.labels)
     texts = scope.texts_to_label(core.scoped_permits(raw, staging.TEXT))
-    labels.refresh(texts, store, stub_labeler.label, stub_labeler.MODEL)
+    labels.refresh(texts, store, stub_labeler.label, stub_labeler.MODEL, CALLS_PER_COMMIT)
     return store.read()
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from lotwise.plans import daily
 from lotwise.operators.labels import Labeler
 from lotwise.schemas import MIN_APPLICATION_DATE
+from lotwise.sources.tables import Warehouse
 
 
 def labeler_named(name: str) -> Labeler:
@@ -46,7 +47,7 @@ def main() -> None:
         print(f"{source}: {n} rows")
     for counter, n in (asdict(labelling) if labelling else {}).items():
         print(f"labels {counter}: {n}")
-    for line in spark.read.parquet(f"{folders.warehouse}/quality_report").orderBy("finding", "detail").collect():
+    for line in Warehouse(spark, folders.warehouse).read("quality_report").orderBy("finding", "detail").collect():
         print(f"{line.finding}, {line.detail}: {line.n}")
 
 

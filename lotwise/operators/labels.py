@@ -16,9 +16,9 @@ from lotwise import schemas as V
 from lotwise.functions.clean import text_digest
 from lotwise.operators.first_row import first_per_key
 from lotwise.session import scratch_path, shuffle_width
-from lotwise.sources.label_store import LabelStore
+from lotwise.sources.label_store import CACHE_KEY, LabelStore
+from lotwise.sources.ledger import ANSWERS, Ledger
 
-CACHE_KEY = ["permit_num", "description_hash"]
 ANSWER_SCHEMA = (
     "classifications array<struct<permit_num string, unit_form string, construction_type string>>"
 )
@@ -44,9 +44,13 @@ def with_labels(scoped: DataFrame, cache: DataFrame) -> DataFrame:
         F.col("unit_form").alias("cached_unit_form"),
         F.col("construction_type").alias("cached_construction_type"),
     )
-    hashed = scoped.withColumn("description_hash", text_digest("description"))
+    # The store keeps a missing permit number as empty text.
+    hashed = scoped.withColumns(
+        {"description_hash": text_digest("description"), "_permit": F.coalesce("permit_num", F.lit(""))}
+    )
+    known = known.withColumnRenamed("permit_num", "_permit")
     return (
-        hashed.join(known, CACHE_KEY, "left")
+        hashed.join(known, ["_permit", "description_hash"], "left")
         .withColumns(
             {
                 "unit_form": F.coalesce("cached_unit_form", "rule_unit_form"),
@@ -60,9 +64,12 @@ def with_labels(scoped: DataFrame, cache: DataFrame) -> DataFrame:
 def needs_label(population: DataFrame, cache: DataFrame) -> DataFrame:
     """Texts that the cache does not hold for their permit: new permits and changed texts.
 
-    One row per cache key: texts that differ by outer spaces are one request.
+    One row per cache key: texts that differ by outer spaces are one request. A missing permit
+    number is empty text, as the store keeps it, so its labels are found again.
     """
-    hashed = population.withColumn("description_hash", text_digest("description"))
+    hashed = population.select(
+        F.coalesce("permit_num", F.lit("")).alias("permit_num"), "description", text_digest("description").alias("description_hash")
+    )
     missing = hashed.join(cache.select(*CACHE_KEY), CACHE_KEY, "left_anti")
     return missing.groupBy(*CACHE_KEY).agg(F.min("description").alias("description"))
 
@@ -81,35 +88,49 @@ def batches(frames: Iterator[pd.DataFrame], size: int) -> Iterator[list]:
         yield batch
 
 
-def ask(texts: DataFrame, labeler: Labeler, batch_size: int = V.LABEL_BATCH) -> DataFrame:
-    """Call the labeler in batches; one row per batch with its requests and the answer or the failure's reason.
+def form_batches(texts: DataFrame, size: int = V.LABEL_BATCH) -> DataFrame:
+    """``batch_id`` and ``requests`` (permit_num, description_hash, description), one row per call.
 
-    Answers name the permit, so a batch never holds two texts of one permit: the label of
-    one text would be taken for the other's. A call that raises leaves its batch without an
-    answer and does not stop the run. Write the result before reading it more than once: a
-    second reading would ask again.
+    The id follows from the keys in the batch alone. Answers name the permit, so a batch never
+    holds two texts of one permit: the label of one text would be taken for the other's.
     """
     # Send this package's functions along: workers may not be able to import them.
     cloudpickle.register_pickle_by_value(lotwise)
 
+    def form(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for several in batched(batches(frames, size), CALLS_PER_FRAME):
+            rows = [[[row._asdict() for row in batch]] for batch in several]
+            yield pd.DataFrame(rows, columns=["requests"])
+
+    formed = texts.select(*CACHE_KEY, "description").mapInPandas(
+        form, "requests array<struct<permit_num string, description_hash string, description string>>"
+    )
+    keys = F.transform("requests", lambda r: F.concat_ws("\x1f", r["permit_num"], r["description_hash"]))
+    return formed.select(F.sha2(F.array_join(F.array_sort(keys), "\x1e"), 256).alias("batch_id"), "requests")
+
+
+def ask(formed: DataFrame, labeler: Labeler) -> DataFrame:
+    """Call the labeler for each batch; its id and requests with the answer or the failure's reason.
+
+    A call that raises leaves its batch without an answer and does not stop the run. Record the
+    result before reading it more than once: a second reading would ask again.
+    """
+    cloudpickle.register_pickle_by_value(lotwise)
+
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for several in batched(batches(frames, batch_size), CALLS_PER_FRAME):
+        for frame in frames:
             rows = []
-            for batch in several:
+            for batch in frame.itertuples(index=False):
                 answer, reason = None, None
                 try:
-                    answer = labeler([(row.permit_num, row.description) for row in batch])
+                    answer = labeler([(r["permit_num"], r["description"]) for r in batch.requests])
                 except Exception as failure:  # the rules cover the batch until the next run
                     reason = f"{type(failure).__name__}: {failure}"
-                requests = [
-                    {"permit_num": row.permit_num, "description_hash": row.description_hash} for row in batch
-                ]
-                rows.append((requests, answer, reason))
-            yield pd.DataFrame(rows, columns=["requests", "answer", "reason"])
-
-    return texts.mapInPandas(
-        call, "requests array<struct<permit_num string, description_hash string>>, answer string, reason string"
-    )
+                requests = [{key: r[key] for key in CACHE_KEY} for r in batch.requests]
+                rows.append((batch.batch_id, requests, answer, reason))
+            yield pd.DataFrame(rows, columns=["batch_id", "requests", "answer", "reason"])
+
+    return formed.mapInPandas(call, ANSWERS)
 
 
 def match_answers(batches: DataFrame, model: str) -> DataFrame:
@@ -151,7 +172,9 @@ def upsert(cache: DataFrame, new: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class LabelRun:
-    """Counters of one run, and the most frequent reasons of failed calls with their counts."""
+    """Counters of one run, and the most frequent reasons of failed calls with their counts.
+
+    ``resumed`` texts were answered for a run before, which did not come to its end."""
 
     in_scope: int
     to_label: int
@@ -159,36 +182,56 @@ class LabelRun:
     failed: int
     cached: int
     reasons: dict[str, int] = field(default_factory=dict, compare=False)
+    resumed: int = 0
 
 
-def refresh(population: DataFrame, store: LabelStore, labeler: Labeler | None, model: str) -> LabelRun | None:
-    """Label what the store does not hold yet and write the store's next version.
+def refresh(
+    population: DataFrame, store: LabelStore, labeler: Labeler | None, model: str, calls_per_commit: int = 1
+) -> LabelRun | None:
+    """Label what the store does not hold yet, and add the new labels to the store.
 
-    Population and answers are written once to the shared folder. So a lost executor
-    repeats at most its own unfinished calls, and every count and the new version are taken
-    from the same stored answers. Without a labeler nothing happens.
+    Population, requests and answers are written once. Answers go to a ledger beside the store, task
+    by task, ``calls_per_commit`` calls each, and stay there if the run dies: the next run does not ask
+    for the same texts again, but takes these answers. A run that ends adds its labels as one delta and
+    closes the ledger, so texts without a valid label are asked for again by the next run. Without a
+    labeler nothing happens.
     """
     if labeler is None:
         return None
     spark = population.sparkSession
     path = scratch_path(spark, "label-run")
+    ledger = Ledger(spark, f"{store.root}/ledger")
 
     population.write.parquet(f"{path}/population")
     population = spark.read.parquet(f"{path}/population")
-    cache = store.read()
-    needs_label(population, cache).write.parquet(f"{path}/todo")
+    needs_label(population, store.read()).write.parquet(f"{path}/todo")
     todo = spark.read.parquet(f"{path}/todo")
     in_scope, to_label = population.count(), todo.count()
     if to_label == 0:
-        return LabelRun(in_scope, 0, 0, 0, cache.count())
-
-    # One call at a time per task: as many tasks as there are full batches, up to the width.
-    tasks = min(shuffle_width(spark), -(-to_label // V.LABEL_BATCH))
-    ask(todo.repartition(tasks), labeler).write.parquet(f"{path}/answers")
-    answers = spark.read.parquet(f"{path}/answers")
-    matched = match_answers(answers, model)
-    labelled = matched.agg(F.count_if("is_valid")).first()[0]
-    store.write(upsert(cache, accepted(matched)))
+        ledger.close()
+        return LabelRun(in_scope, 0, 0, 0, store.read().count())
+
+    answered = ledger.answers().dropna(subset=["answer"]).select(F.inline("requests"))
+    missing = todo.join(answered, CACHE_KEY, "left_anti")
+    # Few tasks form the batches, so that few of these are not full.
+    forming = min(shuffle_width(spark), -(-to_label // (V.LABEL_BATCH * CALLS_PER_FRAME)))
+    form_batches(missing.repartition(forming)).write.parquet(f"{path}/batches")
+    formed = spark.read.parquet(f"{path}/batches")
+    calls, asked = formed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("requests")), F.lit(0))).first()
+    if calls:
+        ledger.record(ask(formed.repartition(-(-calls // calls_per_commit)), labeler))
+
+    wanted = todo.select(*CACHE_KEY)
+    answers = ledger.answers()
+    matched = match_answers(answers, model).join(wanted, CACHE_KEY, "left_semi")
+    accepted(matched).write.parquet(f"{path}/labels")
+    new = spark.read.parquet(f"{path}/labels")
+    labelled = new.count()
+    if labelled:
+        store.append(new) if store.latest() else store.write(new)
     failures = answers.dropna(subset=["reason"]).groupBy("reason").count().orderBy(F.desc("count"), "reason")
     reasons = {row["reason"]: row["count"] for row in failures.limit(REASONS).collect()}
-    return LabelRun(in_scope, to_label, labelled, to_label - labelled, store.read().count(), reasons)
+    ledger.close()
+    if store.compact():
+        store.remove_old()
+    return LabelRun(in_scope, to_label, labelled, to_label - labelled, store.read().count(), reasons, to_label - asked)

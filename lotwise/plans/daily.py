@@ -1,4 +1,8 @@
-"""The daily run: land, label, model, export. Every model is stored once and read from there."""
+"""The daily run: land, label, model, export. Every model is stored once and read from there.
+
+What a run stores comes into force together at its end, the tables first and then the map files:
+until then, and if it dies, readers see all that the run before has left.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +18,7 @@ from lotwise.plans import core, marts, quality, staging
 from lotwise.session import prepare
 from lotwise.sources import features, landed
 from lotwise.sources.label_store import LabelStore
-from lotwise.sources.tables import Warehouse, replace_table
+from lotwise.sources.tables import Run, Warehouse
 
 PERMIT_SOURCES = ["cleared_permits", "active_permits"]
 
@@ -30,62 +34,58 @@ class Folders:
 
 
 def load_raw(
-    spark: SparkSession, landing: str, warehouse: Warehouse,
+    spark: SparkSession, landing: str, run: Run,
     first_date: str = V.MIN_APPLICATION_DATE, multi_line: bool = False,
 ) -> dict[str, int]:
     """Replace every raw table by the landed pages of its source; rows by source."""
-    rows = {}
     for source, columns in V.SOURCES.items():
         pages = landed.read_pages(spark, f"{landing}/{source}", columns, multi_line)
         if source in PERMIT_SOURCES:
             pages = scope.filed_since(pages, first_date, "APPLICATION_DATE")
-        rows[source] = replace_table(pages, warehouse.path(f"raw_{source}"))
-    return rows
+        run.save(pages, f"raw_{source}")
+    return {source: run.table(f"raw_{source}").rows for source in V.SOURCES}
 
 
-def build_staging(warehouse: Warehouse, as_of: str) -> None:
+def build_staging(run: Run, as_of: str) -> None:
     """Staging tables; permits of both sources in one table, a folder per source."""
-    both = staging.both_sources(*[warehouse.read(f"raw_{source}") for source in PERMIT_SOURCES])
-    staging.permits(both).write.mode("overwrite").partitionBy("source_status").parquet(
-        warehouse.path("stg_permits")
-    )
-    warehouse.save(staging.addresses(warehouse.read("raw_address_points")), "stg_address_points")
-    warehouse.save(staging.streets(warehouse.read("raw_centreline")), "stg_centreline")
-    warehouse.save(staging.current_wards(warehouse.read("raw_city_wards"), as_of), "stg_city_wards")
-
-
-def build_marts(warehouse: Warehouse, cache: DataFrame) -> None:
-    scoped = scope.with_units(scope.in_scope(warehouse.read("stg_permits")))
-    scoped = warehouse.save(labels.with_labels(with_rule_labels(scoped), cache), "scoped_permits")
-    addresses = warehouse.read("stg_address_points")
-    streets = warehouse.read("stg_centreline")
+    both = staging.both_sources(*[run.read(f"raw_{source}") for source in PERMIT_SOURCES])
+    run.save(staging.permits(both), "stg_permits", partition_by=("source_status",))
+    run.save(staging.addresses(run.read("raw_address_points")), "stg_address_points")
+    run.save(staging.streets(run.read("raw_centreline")), "stg_centreline")
+    run.save(staging.current_wards(run.read("raw_city_wards"), as_of), "stg_city_wards")
+
+
+def build_marts(run: Run, cache: DataFrame) -> None:
+    scoped = scope.with_units(scope.in_scope(run.read("stg_permits")))
+    scoped = run.save(labels.with_labels(with_rule_labels(scoped), cache), "scoped_permits")
+    addresses = run.read("stg_address_points")
+    streets = run.read("stg_centreline")
     hot = geocode.measure_hot_keys(scoped, addresses, streets)
-    permits = core.permits_with_units(scoped, addresses, streets, hot)
-    permits = warehouse.save(permits, "permits_with_units")
-    housing = warehouse.save(core.multiplex(permits), "multiplex_permits")
-    warehouse.save(marts.by_ward(housing), "multiplex_by_ward")
-    warehouse.save(marts.by_month(housing), "multiplex_by_month")
+    permits = run.save(core.permits_with_units(scoped, addresses, streets, hot), "permits_with_units")
+    housing = run.save(core.multiplex(permits), "multiplex_permits")
+    run.save(marts.by_ward(housing), "multiplex_by_ward")
+    run.save(marts.by_month(housing), "multiplex_by_month")
 
 
-def build_quality(warehouse: Warehouse) -> DataFrame:
+def build_quality(run: Run) -> DataFrame:
     """The quality report over what this run stored."""
-    scoped, addresses = warehouse.read("scoped_permits"), warehouse.read("stg_address_points")
+    scoped, addresses = run.read("scoped_permits"), run.read("stg_address_points")
     keys = scoped.select(*geocode.PERMIT_ID, "geo_id", *geocode.STREET_KEY)
-    hot = geocode.measure_hot_keys(scoped, addresses, warehouse.read("stg_centreline"))
+    hot = geocode.measure_hot_keys(scoped, addresses, run.read("stg_centreline"))
     report = quality.report(
-        staging.both_sources(*[warehouse.read(f"raw_{source}") for source in PERMIT_SOURCES]),
-        warehouse.read("stg_permits"), warehouse.read("raw_address_points"), addresses,
+        staging.both_sources(*[run.read(f"raw_{source}") for source in PERMIT_SOURCES]),
+        run.read("stg_permits"), run.read("raw_address_points"), addresses,
         geocode.locate(keys, addresses, hot), scoped,
     )
-    return warehouse.save(report, "quality_report")
+    return run.save(report, "quality_report")
 
 
-def export(warehouse: Warehouse, folder: str, run_stamp: str) -> None:
+def export(run: Run, maps: Run, run_stamp: str) -> None:
     """Map files, one JSON document per line."""
-    housing = warehouse.read("multiplex_permits")
-    features.write_lines(features.permit_features(housing), f"{folder}/permits.geojsonl")
-    features.write_lines(features.ward_features(warehouse.read("stg_city_wards")), f"{folder}/wards.geojsonl")
-    features.write_lines(features.summary_line(marts.summary(housing, run_stamp)), f"{folder}/summary.json")
+    housing = run.read("multiplex_permits")
+    maps.save_lines(features.permit_features(housing), "permits.geojsonl")
+    maps.save_lines(features.ward_features(run.read("stg_city_wards")), "wards.geojsonl")
+    maps.save_lines(features.summary_line(marts.summary(housing, run_stamp)), "summary.json")
 
 
 def run(
@@ -97,15 +97,20 @@ def run(
 
     ``label_seed`` is a CSV file of earlier labels, taken over while the label store is empty.
     """
-    warehouse = Warehouse(prepare(spark), folders.warehouse)
+    warehouse, exports = Warehouse(prepare(spark), folders.warehouse), Warehouse(spark, folders.export)
+    this, maps = warehouse.begin(), exports.begin()
     store = LabelStore(spark, folders.label_store)
     if label_seed and store.latest() is None:
         store.import_csv(label_seed)
-    rows = load_raw(spark, folders.landing, warehouse, first_date, multi_line)
-    build_staging(warehouse, as_of)
-    population = scope.texts_to_label(scope.in_scope(warehouse.read("stg_permits")))
+    rows = load_raw(spark, folders.landing, this, first_date, multi_line)
+    build_staging(this, as_of)
+    population = scope.texts_to_label(scope.in_scope(this.read("stg_permits")))
     labelling = labels.refresh(population, store, labeler, model)
-    build_marts(warehouse, store.read())
-    build_quality(warehouse)
-    export(warehouse, folders.export, run_stamp)
+    build_marts(this, store.read())
+    build_quality(this)
+    export(this, maps, run_stamp)
+    this.publish()
+    maps.publish()
+    warehouse.remove_old()
+    exports.remove_old()
     return rows, labelling

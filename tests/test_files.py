@@ -152,10 +152,11 @@ def test_daily_run(spark, tmp_path):
         assert (housing["A0"].exterior_visibility, housing["A1"].exterior_visibility) == ("conversion", "interior_only")
         assert housing["C0"].geom is None and housing["A5"].unit_bucket == "6+" and housing["A1"].road_class == "major"
         assert sum(r.net_units_created for r in warehouse.read("multiplex_by_ward").collect()) == 23
-        assert spark.read.text(f"{folders.export}/permits.geojsonl").count() == 7
-        summary = json.loads(spark.read.text(f"{folders.export}/summary.json").first()[0])
+        maps = Warehouse(spark, folders.export)
+        assert maps.read("permits.geojsonl").count() == 7
+        summary = json.loads(maps.read("summary.json").first()[0])
         assert summary["unmatched_address_count"] == 1 and summary["earliest_application_date"] == "2023-02-03"
-        back = features.read_summary(spark, f"{folders.export}/summary.json").first()
+        back = features.read_summary(spark, maps.path("summary.json")).first()
         assert json.loads(json.dumps(summary)) == json.loads(json.dumps(back.asDict(recursive=True)))
         assert summary["totals_by_status"][0] == {"status": "active", "permit_count": 6, "net_units_created": 21}
     assert (labelling.to_label, labelling.labelled, labelling.reasons) == (9, 0, {})
