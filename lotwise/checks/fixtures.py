@@ -12,7 +12,6 @@ from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lotwise.operators.scope import filed_since
 from lotwise.plans.core import RawTables
 
 MIN_DATE = "1995-01-01"
@@ -21,11 +20,12 @@ LAST_UPDATED = "2024-01-01T06:00:00+00:00"
 TABLES = ["orders", "customer", "part", "supplier"]
 
 VIEWS = {
-    # One row per order, about three revisions per permit number.
+    # One row per order, about three revisions per permit number, some of them with one number.
     "fx_permits": """
 SELECT
   'P' || cast(o_orderkey - o_orderkey % 3 AS string) AS permit_num,
-  CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE '0' || cast(o_orderkey % 3 AS string) END AS revision_num,
+  CASE WHEN o_orderkey % 29 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN '01'
+    ELSE '0' || cast(o_orderkey % 3 AS string) END AS revision_num,
   CASE o_orderkey % 4 WHEN 0 THEN 'New Houses' WHEN 1 THEN 'New Building' ELSE 'Small Residential Projects' END AS permit_type,
   CASE o_custkey % 16
     WHEN 0 THEN 'SFD - Detached' WHEN 1 THEN '2 Unit - Detached' WHEN 2 THEN '2 Unit - Semi-detached'
@@ -41,7 +41,8 @@ SELECT
   CASE o_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'None' WHEN 2 THEN ' w' ELSE '' END AS street_direction,
   CASE WHEN o_orderkey % 10 < 3 THEN NULL WHEN o_orderkey % 10 = 3 THEN '999999999'
        WHEN o_orderkey % 10 = 4 THEN 'n/a' ELSE cast(o_custkey AS string) END AS geo_id,
-  CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE substr(cast(o_orderdate AS string), 1, 10) END AS application_date,
+  CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 61 = 0 THEN '1' || substr(cast(o_orderdate AS string), 1, 10)
+    ELSE substr(cast(o_orderdate AS string), 1, 10) END AS application_date,
   CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE substr(cast(o_orderdate AS string), 1, 10) END AS issued_date,
   CASE WHEN o_orderstatus = 'F' THEN substr(cast(o_orderdate AS string), 1, 10) WHEN o_orderkey % 7 = 0 THEN 'pending' END AS completed_date,
   CASE WHEN o_orderstatus = 'F' THEN (CASE o_orderkey % 5 WHEN 0 THEN 'Cancelled' WHEN 1 THEN NULL ELSE 'Closed ' END)
@@ -63,7 +64,7 @@ SELECT
     WHEN 16 THEN 'Interior renovation, demolish wall, new construction' WHEN 17 THEN 'basements everywhere'
     WHEN 18 THEN 'Extended hours permit' WHEN 19 THEN 'To extend the house'
     WHEN 20 THEN ' Garden suite, two storeys ' WHEN 21 THEN 'Convert duplex and remove existing stair'
-    ELSE 'Revision 01' END AS description,
+    ELSE 'Construct new house where the old one burned down' END AS description,
   CASE o_orderkey % 6 WHEN 0 THEN NULL ELSE 'Residential' END AS current_use,
   CASE o_orderkey % 11 WHEN 0 THEN 'Sfd' WHEN 1 THEN 'SINGLE family' WHEN 2 THEN NULL WHEN 3 THEN 'Triplex' ELSE 'Two unit dwelling' END AS proposed_use,
   CASE o_custkey % 13 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '0' WHEN 3 THEN 'x' WHEN 4 THEN ' 2 '
@@ -73,10 +74,11 @@ SELECT
   CASE WHEN o_orderstatus = 'F' THEN 'cleared' ELSE 'active' END AS source_status
 FROM @orders
 """,
-    # One row per customer.
+    # One row per customer; some share the id of the customer before.
     "fx_address_points": """
 SELECT
-  CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE cast(c_custkey AS string) END AS address_point_id,
+  CASE WHEN c_custkey % 97 = 0 THEN NULL WHEN c_custkey % 101 = 0 THEN cast(c_custkey - 1 AS string)
+    ELSE cast(c_custkey AS string) END AS address_point_id,
   cast(c_custkey % 40 AS string) || CASE WHEN c_custkey % 40 = 7 THEN 'A' ELSE '' END AS address_number,
   CASE c_custkey % 5 WHEN 0 THEN 'King' WHEN 1 THEN 'Queen' WHEN 2 THEN 'DUFFERIN' WHEN 3 THEN 'Shaw ' ELSE 'Elsewhere' END AS linear_name,
   CASE WHEN c_custkey % 2 = 0 THEN 'St' ELSE 'Ave' END AS linear_name_type,
@@ -109,17 +111,18 @@ SELECT
     || cast(100 + s_suppkey % 900 AS string) || '1], [-79.5, 43.6]]]}' END AS geometry
 FROM @supplier
 """,
-    # Earlier labels: permits filed before 1999, one row each, a part of them for an older text.
+    # Earlier labels: permits filed before 1999, a part of them for an older text, some keys twice.
     "fx_scope_cache": """
 SELECT permit_num, description_hash, construction_type, unit_form, model FROM (
   SELECT permit_num,
     CASE WHEN o % 2 = 0 THEN md5(trim(description)) ELSE md5('stale') END AS description_hash,
-    CASE o % 3 WHEN 0 THEN 'new_construction' WHEN 1 THEN 'addition' ELSE 'unclear' END AS construction_type,
-    CASE WHEN o % 5 = 0 THEN 'basement_or_secondary_suite' ELSE 'standard' END AS unit_form,
-    'm1' AS model,
-    row_number() OVER (PARTITION BY permit_num ORDER BY revision_num DESC NULLS LAST) AS rn
-  FROM (SELECT p.*, cast(substr(permit_num, 2) AS bigint) AS o FROM @fx_permits p) q
-  WHERE description IS NOT NULL AND application_date < '1999-01-01') z
+    CASE (o + copy) % 3 WHEN 0 THEN 'new_construction' WHEN 1 THEN 'addition' ELSE 'unclear' END AS construction_type,
+    CASE WHEN o % 5 = copy THEN 'basement_or_secondary_suite' ELSE 'standard' END AS unit_form,
+    'm1' AS model, copy, o,
+    row_number() OVER (PARTITION BY permit_num, copy ORDER BY revision_num DESC NULLS LAST, description) AS rn
+  FROM (SELECT p.*, cast(substr(permit_num, 2) AS bigint) AS o, 0 AS copy FROM @fx_permits p
+    UNION ALL SELECT p.*, cast(substr(permit_num, 2) AS bigint) AS o, 1 AS copy FROM @fx_permits p) q
+  WHERE description IS NOT NULL AND application_date < '1999-01-01' AND (copy = 0 OR o % 7 = 0)) z
 WHERE rn = 1
 """,
 }
@@ -148,7 +151,7 @@ class ViewTables(RawTables):
 
     @cached_property
     def permits(self) -> DataFrame:
-        return filed_since(self._make("fx_permits"), MIN_DATE)
+        return self._make("fx_permits")
 
     @cached_property
     def address_points(self) -> DataFrame:

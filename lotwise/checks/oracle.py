@@ -35,10 +35,23 @@ def coordinate(geom: str, i: int) -> str:
     return f"cast(json_extract_string({geom}, '$.coordinates[{i}]') AS double)"
 
 
+# What decides between rows of one revision, in this order.
+TIES = [
+    "dwelling_units_created", "dwelling_units_lost", "structure_type", "proposed_use", "status", "application_date",
+    "issued_date", "completed_date", "try_cast(geo_id AS bigint)", "trim(street_num)", street("street_name"),
+    street("street_type"), direction("street_direction"), "description", "permit_type", "work", "current_use", "residential",
+]
+
+
+def day(text: str) -> str:
+    """A date of four-digit year; others are typing errors."""
+    return f"CASE WHEN regexp_matches({text}, '^[0-9]{{4}}-') THEN try_cast({text} AS date) END"
+
+
 POINT = f"{coordinate('geom', 0)} AS lon, {coordinate('geom', 1)} AS lat"
 
 MODELS = [
-    f"raw_permits AS (SELECT * FROM fx_permits WHERE application_date >= '{MIN_DATE}')",
+    "raw_permits AS (SELECT * FROM fx_permits)",
     f"""staged AS (
   SELECT permit_num, source_status, revision_num, dwelling_units_created, dwelling_units_lost,
     structure_type, proposed_use, status AS permit_status, application_date, issued_date, completed_date,
@@ -48,7 +61,8 @@ MODELS = [
     description, permit_type, work, current_use, residential AS residential_area
   FROM (
     SELECT r.*, row_number() OVER (
-      PARTITION BY permit_num, source_status ORDER BY try_cast(revision_num AS integer) DESC NULLS LAST) AS age
+      PARTITION BY permit_num, source_status ORDER BY try_cast(revision_num AS integer) DESC NULLS LAST,
+        {', '.join(f'{c} NULLS LAST' for c in TIES)}) AS age
     FROM raw_permits r) aged
   WHERE age = 1)""",
     f"""address_rows AS (
@@ -102,10 +116,16 @@ MODELS = [
       WHEN addition_said THEN 'addition' WHEN basement_said OR second_unit_said THEN 'alteration'
       ELSE 'unclear' END AS rule_construction_type
   FROM said)""",
+    """one_label AS (
+  SELECT permit_num, description_hash, construction_type, unit_form FROM (
+    SELECT c.*, row_number() OVER (
+      PARTITION BY permit_num, description_hash ORDER BY construction_type NULLS LAST, unit_form NULLS LAST) AS place
+    FROM fx_scope_cache c) o
+  WHERE place = 1)""",
     f"""labelled AS (
   SELECT r.*, coalesce(c.unit_form, rule_unit_form) AS unit_form,
     coalesce(c.construction_type, rule_construction_type) AS construction_type
-  FROM ruled r LEFT JOIN fx_scope_cache c
+  FROM ruled r LEFT JOIN one_label c
     ON c.permit_num = r.permit_num AND c.description_hash = md5(trim(r.description)))""",
     f"""sorted_out AS (
   SELECT l.*,
@@ -133,11 +153,11 @@ MODELS = [
     AND s.street_type = p.street_type AND s.street_direction = p.street_direction
   LEFT JOIN street_rows r ON r.street_name = p.street_name AND r.street_type = p.street_type
     AND r.street_direction = p.street_direction)""",
-    """core AS (
+    f"""core AS (
   SELECT permit_num, source_status AS status, description, construction_type, unit_form, exterior_visibility,
     structure_type, structure_category, proposed_use, dwelling_units_created, dwelling_units_lost,
-    net_units_created, try_cast(application_date AS date) AS application_date,
-    try_cast(issued_date AS date) AS issued_date, try_cast(completed_date AS date) AS completed_date,
+    net_units_created, {day('application_date')} AS application_date,
+    {day('issued_date')} AS issued_date, {day('completed_date')} AS completed_date,
     full_address, ward, geom, road_class
   FROM placed)""",
     """housing AS (
@@ -192,7 +212,7 @@ def statement(select: str, extra: str = "") -> str:
 
 
 SELECTS = {
-    "landed_permits": "SELECT * EXCLUDE (source_status) FROM raw_permits",
+    "landed_permits": f"SELECT * EXCLUDE (source_status) FROM raw_permits WHERE application_date >= '{MIN_DATE}'",
     "landed_addresses": "SELECT * FROM fx_address_points",
     "stg_permits": "SELECT * FROM staged",
     "stg_addresses": f"SELECT * EXCLUDE (geom), {POINT} FROM address_rows",
@@ -219,7 +239,9 @@ SELECTS = {
     "label_pairs": """SELECT rule_construction_type, construction_type, count(*) AS n FROM labelled GROUP BY 1, 2""",
     "geocoded": f"SELECT permit_num, source_status, full_address, ward, geocode_method, {POINT} FROM placed",
     "geocode_method": "SELECT geocode_method, count(*) AS permits FROM placed GROUP BY 1",
-    "permit_roads": "SELECT permit_num, source_status, road_class FROM placed",
+    "permit_roads": """SELECT permit_num, source_status, coalesce(r.road_class, 'unknown') AS road_class
+        FROM scoped p LEFT JOIN street_rows r ON r.street_name = p.street_name AND r.street_type = p.street_type
+          AND r.street_direction = p.street_direction""",
     "permits_core": f"SELECT * EXCLUDE (geom), {POINT} FROM core",
     "multiplex": f"SELECT * EXCLUDE (geom), {POINT} FROM housing",
     "totals_by_status": """SELECT status, count(*) AS permit_count, sum(net_units_created)::bigint AS net_units_created
@@ -253,7 +275,7 @@ SELECTS = {
     "month_histogram": "SELECT * FROM histogram",
     "bar_shares": """SELECT *, permits::double / greatest(1, (SELECT max(permits) FROM histogram)) AS share FROM histogram""",
     "zoom_cells": "SELECT * FROM cells",
-    "quality_report": """
+    "quality_report": f"""
         SELECT 'repeated permits' AS finding, 'all' AS detail, count(*) AS n FROM (
           SELECT 1 FROM staged GROUP BY permit_num, source_status HAVING count(*) > 1) a
         UNION ALL SELECT 'unreadable', 'dwelling_units_created', count(*) FROM raw_permits
@@ -261,11 +283,11 @@ SELECTS = {
         UNION ALL SELECT 'unreadable', 'dwelling_units_lost', count(*) FROM raw_permits
           WHERE trim(dwelling_units_lost) <> '' AND try_cast(dwelling_units_lost AS integer) IS NULL
         UNION ALL SELECT 'unreadable', 'application_date', count(*) FROM raw_permits
-          WHERE trim(application_date) <> '' AND try_cast(application_date AS date) IS NULL
+          WHERE trim(application_date) <> '' AND {day('application_date')} IS NULL
         UNION ALL SELECT 'unreadable', 'issued_date', count(*) FROM raw_permits
-          WHERE trim(issued_date) <> '' AND try_cast(issued_date AS date) IS NULL
+          WHERE trim(issued_date) <> '' AND {day('issued_date')} IS NULL
         UNION ALL SELECT 'unreadable', 'completed_date', count(*) FROM raw_permits
-          WHERE trim(completed_date) <> '' AND try_cast(completed_date AS date) IS NULL
+          WHERE trim(completed_date) <> '' AND {day('completed_date')} IS NULL
         UNION ALL SELECT 'repeated address ids', 'all', count(*) FROM (
           SELECT 1 FROM address_rows WHERE address_point_id IS NOT NULL GROUP BY address_point_id HAVING count(*) > 1) b
         UNION ALL SELECT 'geometry', 'given', count(geometry) FROM fx_address_points

@@ -200,7 +200,7 @@ def label_pairs(raw: core.RawTables) -> DataFrame:
 @query
 def geocoded(raw: core.RawTables) -> DataFrame:
     scoped = core.scoped_permits(raw, staging.PLACE)
-    placed = geocode.locate(scoped, staging.addresses(raw.address_points), raw.place_keys)
+    placed = geocode.locate(scoped, raw.address_rows, raw.place_keys)
     return as_point(
         placed.select("permit_num", "source_status", "full_address", "ward", "geom", "geocode_method")
     )
@@ -209,7 +209,7 @@ def geocoded(raw: core.RawTables) -> DataFrame:
 @query
 def geocode_method(raw: core.RawTables) -> DataFrame:
     scoped = core.scoped_permits(raw, staging.PLACE)
-    placed = geocode.locate(scoped, staging.addresses(raw.address_points), raw.place_keys)
+    placed = geocode.resolve(scoped, raw.address_rows, raw.place_keys)
     return placed.groupBy("geocode_method").agg(F.count(F.lit(1)).alias("permits"))
 
 
@@ -347,6 +347,6 @@ def quality_report(raw: core.RawTables) -> DataFrame:
         staging.permits(raw.permits, staging.SCOPE),
         raw.address_points,
         addresses,
-        geocode.locate(keys, addresses, raw.place_keys),
+        geocode.resolve(keys, raw.address_rows, raw.place_keys),
         labelled,
     )

@@ -32,6 +32,11 @@ class RawTables:
         """All in-scope revisions: a superset of the rows to be joined that needs no shuffle."""
         return scope.in_scope(staging.permit_rows(self.permits, staging.PLACE))
 
+    @cached_property
+    def address_rows(self) -> geocode.AddressIndex:
+        """Staged addresses, numbered and stored once for all look-ups of a query."""
+        return geocode.AddressIndex(staging.addresses(self.address_points))
+
     @cached_property
     def place_keys(self) -> geocode.HotKeys:
         if not self.measured:
@@ -58,14 +63,15 @@ def labelled_permits(raw: RawTables) -> DataFrame:
 
 
 def permits_core(raw: RawTables) -> DataFrame:
-    addresses, streets = staging.addresses(raw.address_points), staging.streets(raw.centreline)
-    return permits_with_units(labelled_permits(raw), addresses, streets, raw.place_and_road_keys)
+    streets = staging.streets(raw.centreline)
+    return permits_with_units(labelled_permits(raw), raw.address_rows, streets, raw.place_and_road_keys)
 
 
 def permits_with_units(
-    labelled: DataFrame, addresses: DataFrame, streets: DataFrame, hot: geocode.HotKeys
+    labelled: DataFrame, addresses: DataFrame | geocode.AddressIndex, streets: DataFrame, hot: geocode.HotKeys
 ) -> DataFrame:
-    placed = geocode.with_road_class(geocode.locate(labelled, addresses, hot), streets, hot)
+    """Address texts and geometries come last, so that no other join carries them."""
+    placed = geocode.locate(geocode.with_road_class(labelled, streets, hot), addresses, hot)
     return placed.select(
         "permit_num",
         F.col("source_status").alias("status"),
@@ -99,7 +105,7 @@ def placed_multiplex(raw: RawTables) -> DataFrame:
     rules and the description column are left out.
     """
     few = scope.small_gain(scoped_permits(raw, staging.PLACE))
-    return geocode.locate(few, staging.addresses(raw.address_points), raw.place_keys).select(
+    return geocode.locate(few, raw.address_rows, raw.place_keys).select(
         F.col("source_status").alias("status"),
         "permit_num",
         "net_units_created",

@@ -75,7 +75,7 @@ def build_quality(run: Run) -> DataFrame:
     report = quality.report(
         staging.both_sources(*[run.read(f"raw_{source}") for source in PERMIT_SOURCES]),
         run.read("stg_permits"), run.read("raw_address_points"), addresses,
-        geocode.locate(keys, addresses, hot), scoped,
+        geocode.resolve(keys, addresses, hot), scoped,
     )
     return run.save(report, "quality_report")
 

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.operators.lookup import hot_keys, key_digest, lookup
+from lotwise.operators.lookup import fetch, hot_keys, key_digest, lookup, salted, salts, salts_of
 from lotwise.operators.first_row import first_per_key, most_common
 
 # A third of the rows has one key, another third none.
@@ -88,3 +88,36 @@ def test_most_common_value_breaks_ties_by_name(spark):
         df = spark.createDataFrame(rows, "k string, v string").repartition(parts)
         got = {r.k: r.v for r in most_common(df, ["k"], "v").collect()}
         assert got == {"a": "x", "b": "z", None: "q"}
+
+
+@pytest.mark.parametrize("hot", [{7: 1}, {7: 3}, {7: 16, 9: 2, 2996: 5}, {123456: 4}])
+@pytest.mark.parametrize("repeated", [{}, {9: 2, 8: 7}])
+def test_any_number_of_salts_gives_the_same_rows(shuffled_joins, left, hot, repeated):
+    right_rows = [(k, f"v{k}") for k in range(0, 3000, 2)] + [(7, "v7")] + [(9, f"x{i % 3}") for i in range(9)]
+    right = shuffled_joins.createDataFrame(right_rows, "k bigint, v string")
+    got = lookup(left, right, ["k"], ["id"], hot, repeated)
+    assert Counter(map(tuple, got.collect())) == plain(ROWS, right_rows)
+
+
+def test_a_hot_key_is_repeated_as_often_as_it_fills_shares(shuffled_joins):
+    # 8 partitions of two shares: 1/16 of 3249 rows is a share.
+    keys = [1] * 1000 + [2] * 400 + [3] * 250 + [4] * 200 + list(range(100, 1499))
+    df = shuffled_joins.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k bigint")
+    found = salts(df, {"k": ["k"]})["k"]
+    assert found == {1: 5, 2: 2, 3: 2}
+    right = shuffled_joins.createDataFrame([(k, f"v{k}") for k in range(1500)], "k bigint, v string")
+    number = salts_of(F.col("k"), found)
+    copies = salted(right, F.col("k"), number, F.lit(False), F.lit(1)).groupBy("k").count().filter("count > 1")
+    assert {r["k"]: r["count"] for r in copies.collect()} == found
+    # One salt per partition for each of the three keys would be 24 rows.
+    assert salted(right, F.col("k"), number, F.lit(False), F.lit(1)).count() == 1500 + 4 + 1 + 1
+
+
+def test_fetched_rows_are_the_same_for_any_salts(shuffled_joins):
+    left = shuffled_joins.createDataFrame([(i, None if i % 5 == 0 else i % 7) for i in range(500)], "id int, at bigint")
+    right = shuffled_joins.createDataFrame([(k, f"v{k}") for k in range(6)], "at bigint, v string")
+    for n, m in ((1, 1), (3, 3), (2, 5)):
+        got = fetch(left, right, "at", ["id"], F.when(F.col("at") == 3, n).otherwise(1), F.when(F.col("at") == 3, m).otherwise(1))
+        assert Counter(map(tuple, got.collect())) == Counter(
+            (i, k, f"v{k}" if k is not None and k < 6 else None) for i, k in ((i, None if i % 5 == 0 else i % 7) for i in range(500))
+        )

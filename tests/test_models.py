@@ -224,3 +224,43 @@ def text_digest_of(text: str) -> str:
 def test_summary_of_nothing(spark):
     [row] = marts.summary(core.placed_multiplex(raw_tables(spark, [{"STATUS": "Refused"}], [{}])), "now").collect()
     assert (row.totals_by_status, row.unmatched_address_count, row.earliest_application_date) == ([], 0, None)
+
+
+def test_geometry_is_fetched_last_and_addresses_are_staged_once(shuffled_joins):
+    spark = shuffled_joins
+    raw = raw_tables(spark, [{"PERMIT_NUM": f"P{i}"} for i in range(5)], [{}], [("King", "St", "W", "Local")])
+    lines = core.permits_core(raw)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    joins = [i for i, line in enumerate(lines) if "Join LeftOuter" in line]
+    # Outermost first: two fetches, street, id, road class, cached labels.
+    assert len(joins) == 6 and lines[joins[0]].count("_first") and lines[joins[1]].count("_second")
+    end = next(i for i in range(joins[2] + 1, len(lines)) if depth[i] <= depth[joins[2]])
+    look_ups = lines[joins[2] : end]
+    assert not any("geom" in line for line in look_ups if "Relation" not in line)
+    reads = [line for line in lines if "Relation [" in line and "address_row" in line]
+    assert len(reads) == 4 and not any("parse_json" in line for line in lines)
+
+
+def test_the_street_is_looked_up_for_unresolved_permits_only(spark):
+    rows = [{"PERMIT_NUM": "whole"}, {"PERMIT_NUM": "partly", "GEO_ID": "7"}, {"PERMIT_NUM": "street", "GEO_ID": None}]
+    points = [{}, {"ADDRESS_POINT_ID": "7", "WARD_NAME": None, "ADDRESS_NUMBER": "5"}]
+    got = geocode.resolve(staging.permits(permits(spark, *rows)), staging.addresses(addresses(spark, *points)))
+    assert {r.permit_num: (r.id_row is not None, r.street_row is not None, r.geocode_method) for r in got.collect()} == {
+        "whole": (True, False, "id"), "partly": (True, True, "id"), "street": (False, True, "street"),
+    }
+
+
+def test_hot_addresses_are_fetched_alike(shuffled_joins):
+    spark = shuffled_joins
+    rows = [{"PERMIT_NUM": f"P{i}", "GEO_ID": "100" if i % 2 else "200" if i % 3 else None} for i in range(90)]
+    points = [
+        {}, {"ADDRESS_POINT_ID": "200", "WARD_NAME": None, "ADDRESS_NUMBER": "9"},
+        {"ADDRESS_POINT_ID": "50", "WARD_NAME": "Ward B", "ADDRESS_FULL": "lowest"},
+    ]
+    staged, stored = staging.permits(permits(spark, *rows)), staging.addresses(addresses(spark, *points))
+    hot = geocode.measure_hot_keys(staged, stored)
+    assert hot.by_id == [100, 200] and len(hot.by_street) == 1 and max(hot.id_salts.values()) > 3
+    plain = sorted(map(str, geocode.locate(staged, stored).collect()))
+    assert sorted(map(str, geocode.locate(staged, stored, hot).collect())) == plain
+    wild = geocode.HotKeys({100: 2, 7: 9}, {next(iter(hot.street_salts)): 5}, {}, {})
+    assert sorted(map(str, geocode.locate(staged, stored, wild).collect())) == plain
