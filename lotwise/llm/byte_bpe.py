@@ -75,7 +75,7 @@ def encode(docs: DataFrame, path: str, pattern: str, with_offsets: bool = False)
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, ids binary" + (", offsets array<struct<begin: int, end: int>>" if with_offsets else "")
-    return map_arrow(docs.select("doc_id", "text"), run, schema)
+    return map_arrow(docs.select("doc_id", "text"), run, schema, remembers=True)
 
 
 def with_decoded(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -90,4 +90,4 @@ def with_decoded(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
                 ["doc_id", "ids", "decoded"],
             )
 
-    return map_arrow(encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, decoded binary")
+    return map_arrow(encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, decoded binary", remembers=True)

@@ -27,19 +27,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+def map_arrow(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType,
+    remembers: bool = False,
+) -> DataFrame:
     """``mapInArrow`` whose functions reach workers that cannot import this package.
 
     Batches are limited in bytes as well as in rows, so that a run of very long texts does
-    not have to fit a worker's memory at once.
+    not have to fit a worker's memory at once. Workers go from one stage to the next: a stage
+    that does not itself remember objects drops what stages before have left in them.
     """
     cloudpickle.register_pickle_by_value(lotwise)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
-    return df.mapInArrow(run, schema)
+
+    def task(batches):
+        if not remembers:
+            worker_store().clear()
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(task, schema)
 
 
 def worker_store() -> dict:
-    """Objects that live as long as this Python worker, shared by the tasks it runs."""
+    """Objects that live in this Python worker from task to task, while stages remember."""
     return sys.__dict__.setdefault("_lotwise_worker_store", {})
 
 

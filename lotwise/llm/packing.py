@@ -192,7 +192,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
                     [pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "piece", "start", "length", "ids"]
                 )
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, piece int, start long, length long, ids binary")
+    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, piece int, start long, length long, ids binary", remembers=True)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:

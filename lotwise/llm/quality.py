@@ -7,9 +7,12 @@ lies below the trusted texts' mean by more than ``SPREADS`` of their standard de
 below 0, where the corpus explains it better than the trusted texts do. Every document meets
 the same threshold. Trusted texts are read in full; nothing is sampled.
 
-The shuffle holds a row per task and bucket, ``2 * 2**BITS`` sums reach the driver. Without any
+Trusted texts are moved by one shuffle and stored, then counted and scored from the stored copy.
+Else the shuffle holds a row per task and bucket, ``2 * 2**BITS`` sums reach the driver. Without any
 trusted text only the fixed rules decide. A null text counts as none: no words, so it fails.
-Rows with a null doc_id are never trusted. Repeated rows are each judged; ties cannot arise.
+Rows with a null doc_id are never trusted. Repeated rows are each judged; ties cannot arise. An empty
+table gives no rows. Very long texts are counted whole, one at a time. Other columns of the tables
+are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -52,7 +55,11 @@ class Model:
 
 
 def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The texts of documents that some label row calls good; only these are shuffled."""
+    """The texts of documents that some label row calls good, moved once and stored.
+
+    The plan is the same at every size: a bitmap of the trusted ids lets few other texts through,
+    and both sides of the join are shuffled.
+    """
     good = written(labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct(), "trusted-ids")
     bits = id_filter(good)
 
@@ -61,7 +68,8 @@ def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield passing(batch, "hash", bits).select(["doc_id", "text"])
 
     rows = docs.filter("text IS NOT NULL").select(F.xxhash64("doc_id").alias("hash"), "doc_id", "text")
-    return map_arrow(rows, pick, "doc_id long, text string").join(good, "doc_id", "leftsemi").select("text")
+    likely = map_arrow(rows, pick, "doc_id long, text string")
+    return written(likely.join(good.hint("merge"), "doc_id", "leftsemi").select("text"), "trusted-texts")
 
 
 def _sums(texts: DataFrame) -> np.ndarray:

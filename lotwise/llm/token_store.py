@@ -165,7 +165,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
 
         yield from _segment_rows(encoded(), TaskContext.get().partitionId())
 
-    map_arrow(rows, run, SEGMENT_SCHEMA).write.option("compression", "uncompressed").parquet(path)
+    map_arrow(rows, run, SEGMENT_SCHEMA, remembers=True).write.option("compression", "uncompressed").parquet(path)
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:

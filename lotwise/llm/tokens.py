@@ -211,4 +211,4 @@ def encoded(docs: DataFrame, path: str, end_id: int | None = None) -> DataFrame:
                     ids = [end_marked(i, end_id) for i in ids]
                 yield pa.RecordBatch.from_arrays([doc_ids.slice(lo, hi - lo), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id bigint, ids binary")
+    return map_arrow(docs.select("doc_id", "text"), run, "doc_id bigint, ids binary", remembers=True)
