@@ -184,6 +184,20 @@ MODELS = [
     """histogram AS (
   SELECT month_index, a.year_month, coalesce(permits, 0) AS permits
   FROM axis a LEFT JOIN per_month p ON p.year_month = a.year_month)""",
+    """zooms AS (SELECT unnest([9, 10, 11, 12, 13, 14, 15, 16]) AS zoom)""",
+    f"""all_cells AS (
+  SELECT zoom, cast(floor(x * world / 60) AS bigint) AS cell_x, cast(floor(y * world / 60) AS bigint) AS cell_y,
+    count(*) AS permits
+  FROM (SELECT zoom, 256::double * (1 << zoom) AS world, (lon + 180.0::double) / 360.0::double AS x,
+      (1.0::double - ln(tan(radians(lat)) + 1.0::double / cos(radians(lat))) / pi()) / 2.0::double AS y
+    FROM (SELECT {POINT} FROM shown) p, zooms) q GROUP BY 1, 2, 3)""",
+    """cube AS (
+  SELECT status, road_class, structure_category, exterior_visibility, strftime(application_date, '%Y-%m') AS application_month,
+    ward, count(*) AS permits, sum(net_units_created)::bigint AS net_units FROM mapped GROUP BY ALL)""",
+    f"""narrow AS (
+  SELECT * FROM mapped WHERE status <> 'cleared' AND road_class <> 'minor'
+    AND structure_category IN ('{V.SUITE_CATEGORY}', '{V.DUPLEX_CATEGORY}', '{V.TRIPLEX_CATEGORY}', '{V.OTHER_CATEGORY}')
+    AND (application_date IS NULL OR application_date >= date '1996-03-01' AND application_date < date '1999-11-01'))""",
     f"""cells AS (
   SELECT cast(floor(x / 60) AS bigint) AS cell_x, cast(floor(y / 60) AS bigint) AS cell_y, count(*) AS permits
   FROM (SELECT (lon + 180.0::double) / 360.0::double * 1048576 AS x,
@@ -211,6 +225,9 @@ def statement(select: str, extra: str = "") -> str:
     return f"WITH {ctes}\n{select}"
 
 
+TILES = """SELECT coalesce(sum(net_units_created), 0)::bigint AS net_units, count(*) AS permits,
+    count(*) FILTER (status = 'active') AS active_permits, count(*) FILTER (status = 'cleared') AS cleared_permits FROM {source}"""
+
 SELECTS = {
     "landed_permits": f"SELECT * EXCLUDE (source_status) FROM raw_permits WHERE application_date >= '{MIN_DATE}'",
     "landed_addresses": "SELECT * FROM fx_address_points",
@@ -269,9 +286,19 @@ SELECTS = {
           AND (application_date IS NULL OR application_date >= date '1996-03-01' AND application_date < date '1999-11-01')""",
     "shown_layers": f"""SELECT permit_num, status, net_units_created, {POINT} FROM mapped m
         WHERE EXISTS (SELECT 1 FROM shown s WHERE s.permit_num = m.permit_num AND s.status = m.status)""",
-    "stat_tiles": """SELECT coalesce(sum(net_units_created), 0)::bigint AS net_units, count(*) AS permits,
-        count(*) FILTER (status = 'active') AS active_permits, count(*) FILTER (status = 'cleared') AS cleared_permits FROM shown""",
+    "stat_tiles": TILES.format(source="shown"),
     "ward_totals": "SELECT * FROM totals",
+    "facet_cube": "SELECT * FROM cube",
+    "cube_tiles": TILES.format(source="shown"),
+    "narrow_cube_tiles": TILES.format(source="narrow"),
+    "cube_ward_totals": "SELECT * FROM totals",
+    "cube_histogram": "SELECT * FROM histogram",
+    "facet_counts": " UNION ALL ".join(
+        f"""SELECT '{facet}' AS facet, {facet} AS value, count(*) AS permits,
+        coalesce(sum(net_units_created), 0)::bigint AS net_units FROM mapped GROUP BY {facet}"""
+        for facet in ("status", "road_class", "structure_category", "exterior_visibility")
+    ),
+    "cell_pyramid": "SELECT * FROM all_cells",
     "month_histogram": "SELECT * FROM histogram",
     "bar_shares": """SELECT *, permits::double / greatest(1, (SELECT max(permits) FROM histogram)) AS share FROM histogram""",
     "zoom_cells": "SELECT * FROM cells",
@@ -312,6 +339,17 @@ ORACLE = {name: statement(select) for name, select in SELECTS.items()} | {
           unnest([b - 1, c - 1, d - 1, e - 1, (SELECT greatest(1, max(net_units)) FROM totals)::double]) AS high FROM c4) x""",
         cuts_of("totals", "net_units"),
     ),
+    "pyramid_bins": statement(
+        f"""SELECT zoom, cell_x, cell_y, permits, {BIN.format(v='permits')} FROM clusters JOIN per_zoom USING (zoom)""",
+        """
+clusters AS (SELECT * FROM all_cells WHERE permits > 1),
+z0 AS (SELECT zoom, quantile_cont(permits::double, [0.0, 0.2, 0.4, 0.6, 0.8]) AS q FROM clusters GROUP BY zoom),
+z1 AS (SELECT *, q[1] AS a FROM z0),
+z2 AS (SELECT *, greatest(q[2], CASE WHEN q[2] <= a THEN a + 1 ELSE q[2] END) AS b FROM z1),
+z3 AS (SELECT *, CASE WHEN q[3] <= b THEN b + 1 ELSE q[3] END AS c FROM z2),
+z4 AS (SELECT *, CASE WHEN q[4] <= c THEN c + 1 ELSE q[4] END AS d FROM z3),
+per_zoom AS (SELECT zoom, a, b, c, d, CASE WHEN q[5] <= d THEN d + 1 ELSE q[5] END AS e FROM z4)""",
+    ),
     "cluster_bins": statement(
         f"SELECT cell_x, cell_y, permits, {BIN.format(v='permits')} FROM cells, c4 WHERE permits > 1",
         cuts_of("(SELECT permits FROM cells WHERE permits > 1) clusters", "permits"),

@@ -12,7 +12,7 @@ from lotwise.functions import categories, geojson
 from lotwise.functions.rules import with_rule_labels
 from lotwise.operators import facets, geocode, labels, scope
 from lotwise.operators.facets import Facets
-from lotwise.plans import core, map_view, marts, quality, staging
+from lotwise.plans import core, cube, map_view, marts, quality, staging
 from lotwise.session import prepare, scratch_path
 from lotwise.sources import features, landed
 from lotwise.sources.label_store import LabelStore
@@ -30,6 +30,8 @@ SOME_FACETS = Facets(
     months=("1996-03", "1999-10"),
 )
 ZOOM = 12
+# Zooms of the pyramid: those at which the map draws clusters.
+COARSEST, FINEST = 9, 16
 # The stub answers at once, so a task may as well hold many calls.
 CALLS_PER_COMMIT = 50
 
@@ -334,6 +336,47 @@ def cluster_bins(raw: core.RawTables) -> DataFrame:
     return map_view.cluster_bins(map_view.zoom_cells(facets.visible(mapped_multiplex(raw)), ZOOM))
 
 
+@query
+def facet_cube(raw: core.RawTables) -> DataFrame:
+    return cube.facet_cube(mapped_multiplex(raw))
+
+
+@query
+def cube_tiles(raw: core.RawTables) -> DataFrame:
+    return cube.stat_tiles(cube.chosen(cube.facet_cube(mapped_multiplex(raw))))
+
+
+@query
+def narrow_cube_tiles(raw: core.RawTables) -> DataFrame:
+    return cube.stat_tiles(cube.chosen(cube.facet_cube(mapped_multiplex(raw)), SOME_FACETS))
+
+
+@query
+def cube_ward_totals(raw: core.RawTables) -> DataFrame:
+    shown = cube.chosen(cube.facet_cube(mapped_multiplex(raw)))
+    return cube.ward_totals(shown, staging.current_wards(raw.city_wards, fixtures.AS_OF))
+
+
+@query
+def cube_histogram(raw: core.RawTables) -> DataFrame:
+    return cube.month_histogram(cube.facet_cube(mapped_multiplex(raw)))
+
+
+@query
+def facet_counts(raw: core.RawTables) -> DataFrame:
+    return cube.facet_counts(cube.facet_cube(mapped_multiplex(raw)))
+
+
+@query
+def cell_pyramid(raw: core.RawTables) -> DataFrame:
+    return cube.cell_pyramid(facets.visible(mapped_multiplex(raw)), COARSEST, FINEST)
+
+
+@query
+def pyramid_bins(raw: core.RawTables) -> DataFrame:
+    return cube.pyramid_bins(cube.cell_pyramid(facets.visible(mapped_multiplex(raw)), COARSEST, FINEST))
+
+
 # Quality
 
 

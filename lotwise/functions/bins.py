@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.functions.clean import col
+from lotwise.operators.ranks import quantiles
 
 # The quantiles at which the bins start.
 BIN_STARTS = [0.0, 0.2, 0.4, 0.6, 0.8]
@@ -20,16 +21,15 @@ def increasing(cuts: Column | str) -> Column:
     return F.aggregate(F.slice(cuts, 2, len(BIN_STARTS) - 1), F.slice(cuts, 1, 1), lift)
 
 
-def cut_points(df: DataFrame, value: str) -> DataFrame:
-    """One row with ``cuts`` over the exact, linearly interpolated quantiles of a column.
+def cut_points(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
+    """``cuts`` over the exact, linearly interpolated quantiles of a whole-number column.
 
-    Rows are first reduced to (value, count) pairs, so the one task that sees the whole
-    distribution holds the distinct values and never the rows.
+    One row, or one per group. The ranks are selected step by step over (value, count) pairs, so
+    no task sees the whole distribution.
     """
-    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    quantiles = F.percentile(F.col(value).cast("double"), BIN_STARTS, F.col("_n"))
     none = F.array(*[F.lit(0.0) for _ in BIN_STARTS])
-    return counted.agg(increasing(F.coalesce(quantiles, none)).alias("cuts"))
+    found = F.when(F.exists("quantiles", lambda q: q.isNull()), none).otherwise(F.col("quantiles"))
+    return quantiles(df, value, BIN_STARTS, by).select(*by, increasing(found).alias("cuts"))
 
 
 def bin_index(value: Column | str, cuts: Column | str) -> Column:

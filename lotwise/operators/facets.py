@@ -44,14 +44,18 @@ def passes_layers(facets: Facets) -> Column:
     )
 
 
-def passes_months(facets: Facets) -> Column:
-    """A permit without an application date is not hidden."""
+def month_passes(month: Column, facets: Facets) -> Column:
+    """Whether a month is shown; a missing one is not hidden."""
     if facets.months is None:
         return F.lit(True)
-    month = year_month("application_date")
     return month.isNull() | month.between(*facets.months)
 
 
+def passes_months(facets: Facets) -> Column:
+    """A permit without an application date is not hidden."""
+    return month_passes(year_month("application_date"), facets)
+
+
 def visible(mapped: DataFrame, facets: Facets = Facets()) -> DataFrame:
     return mapped.filter(passes_layers(facets) & passes_months(facets))
 

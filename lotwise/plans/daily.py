@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lotwise import schemas as V
 from lotwise.functions.rules import with_rule_labels
-from lotwise.operators import geocode, labels, scope
+from lotwise.operators import facets, geocode, labels, scope
 from lotwise.operators.labels import Labeler, LabelRun
-from lotwise.plans import core, marts, quality, staging
+from lotwise.plans import core, cube, marts, quality, staging
 from lotwise.session import prepare
 from lotwise.sources import features, landed
 from lotwise.sources.label_store import LabelStore
@@ -65,6 +65,8 @@ def build_marts(run: Run, cache: DataFrame) -> None:
     housing = run.save(core.multiplex(permits), "multiplex_permits")
     run.save(marts.by_ward(housing), "multiplex_by_ward")
     run.save(marts.by_month(housing), "multiplex_by_month")
+    run.save(cube.facet_cube(facets.is_mapped(housing)), "facet_cube")
+    run.save(cube.cell_pyramid(facets.visible(facets.is_mapped(housing))), "cell_pyramid")
 
 
 def build_quality(run: Run) -> DataFrame:

@@ -7,16 +7,20 @@ from pyspark.sql import DataFrame, functions as F
 from lotwise import schemas as V
 from lotwise.functions import bins, geojson
 from lotwise.functions.months import months_between, year_month
-from lotwise.sources.tables import stored
+from lotwise.operators.ranks import with_one_row
 
 ZOOM_CELL_PIXELS = 60
 
 
-def _with_bin(df: DataFrame, value: str) -> DataFrame:
-    """Add the bin of a value; the cuts over all rows come in as a scalar subquery."""
-    df = stored(df, "binned")
-    with_cuts = df.withColumn("_cuts", bins.cut_points(df, value).scalar())
-    return with_cuts.withColumn("bin", bins.bin_index(value, "_cuts")).drop("_cuts")
+def binned(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
+    """Add the bin of a value among all rows, or among those of its group.
+
+    The rows are read by every step of the rank selection: Spark keeps them once they are computed,
+    in memory or on the executors' disks, and computes what a lost executor held again.
+    """
+    df = df.persist()
+    cuts = bins.cut_points(df, value, by).withColumnRenamed("cuts", "_cuts")
+    return with_one_row(df, cuts, by).withColumn("bin", bins.bin_index(value, "_cuts")).drop("_cuts")
 
 
 def stat_tiles(shown: DataFrame) -> DataFrame:
@@ -45,12 +49,12 @@ def ward_totals(shown: DataFrame, wards: DataFrame) -> DataFrame:
 
 
 def ward_bins(totals: DataFrame) -> DataFrame:
-    return _with_bin(totals, "net_units")
+    return binned(totals, "net_units")
 
 
 def bin_legend(totals: DataFrame, value: str = "net_units") -> DataFrame:
     """Whole-number edges of each bin; the last bin is open and ends at the largest value."""
-    totals = stored(totals, "legend")
+    totals = totals.persist()
     top = totals.agg(F.greatest(F.lit(1), F.max(value)).alias("top")).scalar()
     return bins.bin_edges(bins.cut_points(totals, value).withColumn("top", top))
 
@@ -65,11 +69,17 @@ def month_axis(per_month: DataFrame) -> DataFrame:
 
 def month_histogram(mapped: DataFrame) -> DataFrame:
     """Applications per month over all mapped permits, whatever the facets say."""
-    per_month = stored(
-        mapped.groupBy(year_month("application_date").alias("year_month"))
-        .agg(F.count(F.lit(1)).alias("permits")),
-        "months",
+    # Never null: joining by it then adds no filter, and both readers share one shuffle.
+    month = F.coalesce(year_month("application_date"), F.lit(""))
+    per_month = (
+        mapped.filter(F.col("application_date").isNotNull()).groupBy(month.alias("year_month"))
+        .agg(F.count(F.lit(1)).alias("permits"))
     )
+    return filled_months(per_month)
+
+
+def filled_months(per_month: DataFrame) -> DataFrame:
+    """``permits`` by ``year_month`` for every month of the axis, zero where there are none."""
     return month_axis(per_month).join(per_month, "year_month", "left").select(
         "month_index", "year_month", F.coalesce("permits", F.lit(0)).alias("permits")
     )
@@ -90,4 +100,4 @@ def zoom_cells(shown: DataFrame, zoom: int) -> DataFrame:
 
 def cluster_bins(cells: DataFrame) -> DataFrame:
     """Cells of two or more permits with the bin of their size among all such cells."""
-    return _with_bin(cells.filter("permits > 1"), "permits")
+    return binned(cells.filter("permits > 1"), "permits")
