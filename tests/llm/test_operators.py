@@ -286,4 +286,4 @@ def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "exact_dedup", "near_dedup", "pii", "packing"]
     assert rows and len({(r["doc_id"], r["piece"]) for r in rows}) == len(rows)
-    assert packing.configurations({}, 10) == [] and len(QUERIES) == 10
+    assert packing.configurations({}, 10) == [] and len(QUERIES) == 13
