@@ -25,6 +25,7 @@ from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from hashlib import blake2b
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -308,10 +309,9 @@ class Pseudonyms:
                 size += begin - last + len(new)
                 moved.append((size - len(new), begin, end, len(new), kind))
                 last = end
-            shifted = []
-            for a, b, kind in spans:
-                by = sum(n - (e - s) for _, s, e, n, _ in moved if e <= a)
-                shifted.append((a + by, b + by, kind))
+            # How far everything behind each replaced place has moved.
+            behind, by = [e for _, _, e, _, _ in moved], [0, *accumulate(n - (e - s) for _, s, e, n, _ in moved)]
+            shifted = [(a + by[k], b + by[k], kind) for a, b, kind in spans for k in (bisect_right(behind, a),)]
             text = "".join(out) + text[last:]
             spans = shifted + [(a, a + n, kind) for a, _, _, n, kind in moved]
         return text, sorted(spans)
