@@ -75,6 +75,13 @@ def width(spark: SparkSession) -> int:
     return shuffle_width(spark)
 
 
+def free_prefix(columns: list[str], prefix: str) -> str:
+    """The prefix, with as many underscores before it as it takes to meet no column's name."""
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix = f"_{prefix}"
+    return prefix
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, LETTERS_UP, LETTERS_LOW)

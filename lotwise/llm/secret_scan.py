@@ -14,8 +14,9 @@ Spans of the other kinds, and placeholder words and runs of one character, cut a
 left on both sides is judged by itself. A UUID gives no entropy span. The first three kinds are
 always reported. DataFrame functions only.
 
-A null or empty text has no spans. Repeated rows are each scanned; other columns stay as they are,
-but columns named like the two results are replaced.
+A null or empty text has no spans, an empty table gives no rows. Repeated rows are each scanned; other
+columns stay as they are, whatever their names, but columns named like the two results are replaced.
+A very long string takes time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from math import log2
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotwise.llm.common import free_prefix
+
 KINDS = ("assign", "access", "hex", "entropy")
 # The patterns of the first three kinds and their least lengths.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -104,35 +107,32 @@ def _hot_part(value: Column, bits: float) -> Column:
     steps = [0.0] + [c * log2(c) for c in range(1, WINDOW + 1)]
     gain = F.array(*[F.lit(b - a) for a, b in zip(steps, steps[1:])])
     codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    # Each character with the one that leaves the window for it: the state holds no string.
+    leaving = F.concat(F.array_repeat(F.lit(0), WINDOW), codes)
+    moves = F.arrays_zip(codes.alias("code"), F.slice(leaving, F.lit(1), F.char_length(value)).alias("out"))
 
-    def step(acc: Column, i: Column) -> Column:
-        code_in = F.element_at(acc["codes"], i)
-        code_out = F.when(i > WINDOW, F.element_at(acc["codes"], F.greatest(i - WINDOW, F.lit(1)))).otherwise(0)
-        slid = F.transform(
-            acc["counts"],
-            lambda c, j: c - F.when(j == code_out, 1).otherwise(0),
-        )
+    def step(acc: Column, move: Column) -> Column:
+        code, out, i = move["code"], move["out"], acc["i"] + 1
         left = F.when(
-            i > WINDOW, acc["sum"] - F.element_at(gain, F.greatest(F.element_at(acc["counts"], code_out + 1), F.lit(1)))
+            out > 0, acc["sum"] - F.element_at(gain, F.greatest(F.element_at(acc["counts"], out + 1), F.lit(1)))
         ).otherwise(acc["sum"])
-        had = F.element_at(slid, code_in + 1)
+        had = F.element_at(acc["counts"], code + 1) - F.when(out == code, 1).otherwise(0)
         total = left + F.element_at(gain, had + 1)
-        counts = F.transform(slid, lambda c, j: c + F.when(j == code_in, 1).otherwise(0))
+        counts = F.transform(
+            acc["counts"], lambda c, j: c + F.when(j == code, 1).otherwise(0) - F.when(j == out, 1).otherwise(0)
+        )
         hot = (i >= WINDOW) & (F.lit(log2(WINDOW)) - total / WINDOW >= bits)
         return F.struct(
-            acc["codes"].alias("codes"), counts.alias("counts"), total.alias("sum"),
+            i.alias("i"), counts.alias("counts"), total.alias("sum"),
             F.when(hot & acc["first"].isNull(), i - WINDOW).otherwise(acc["first"]).alias("first"),
             F.when(hot, i).otherwise(acc["last"]).alias("last"),
         )
 
     start = F.struct(
-        codes.alias("codes"), F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"),
+        F.lit(0).alias("i"), F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"),
         F.lit(0.0).alias("sum"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"),
     )
-    return F.aggregate(
-        F.sequence(F.lit(1), F.char_length(value)), start, step,
-        lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")),
-    )
+    return F.aggregate(moves, start, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
 
 def _pieces(s: Column, base: Column) -> Column:
@@ -190,12 +190,13 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         (ASSIGN, (0, 2)), (_whole(ACCESS, ACCESS_LEAST - len("AKIA")), (0,)), (_whole(HEX, HEX_LEAST), (0,)), (CANDIDATE, (0,)),
     )
     # One step per column: what several later expressions read is computed once.
-    rows = docs.select("*", *[_gap_matches(t, p, groups).alias(f"_scan_m{i}") for i, (p, groups) in enumerate(plans)])
-    rows = rows.select("*", *[_placed(f"_scan_m{i}", i).alias(f"_scan_s{i}") for i in range(len(plans))])
-    long_enough = F.filter("_scan_s0", lambda s: F.char_length(s["value"]) >= ASSIGN_LEAST)
-    rows = rows.select("*", F.sort_array(F.concat(long_enough, "_scan_s1", "_scan_s2")).alias("base_spans"))
-    rows = rows.select("*", _entropy_spans(F.col("_scan_s3"), F.col("base_spans")).alias("_scan_e"))
-    rows = rows.select("*", F.sort_array(F.concat("base_spans", "_scan_e")).alias("spans"))
+    own = free_prefix(docs.columns, "_scan")
+    rows = docs.select("*", *[_gap_matches(t, p, groups).alias(f"{own}_m{i}") for i, (p, groups) in enumerate(plans)])
+    rows = rows.select("*", *[_placed(f"{own}_m{i}", i).alias(f"{own}_s{i}") for i in range(len(plans))])
+    long_enough = F.filter(f"{own}_s0", lambda s: F.char_length(s["value"]) >= ASSIGN_LEAST)
+    rows = rows.select("*", F.sort_array(F.concat(long_enough, f"{own}_s1", f"{own}_s2")).alias("base_spans"))
+    rows = rows.select("*", _entropy_spans(F.col(f"{own}_s3"), F.col("base_spans")).alias(f"{own}_e"))
+    rows = rows.select("*", F.sort_array(F.concat("base_spans", f"{own}_e")).alias("spans"))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], "base_spans", "spans")
 
 
