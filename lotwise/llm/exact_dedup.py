@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lotwise.llm.common import ascii_lower, written
+from lotwise.llm.common import ascii_lower, free_prefix, written
 
 # Most heavy digests, counters per sketch, and groups of map tasks that share a sketch.
 HEAVY = 1024
@@ -84,12 +84,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """
     # Rows and decisions meet on plain columns, so that one shuffle of the texts serves both
     # the join and the choice among repeated rows.
-    keys = [
-        F.coalesce("doc_id", F.lit(0)).alias("_dedup_id"), F.col("doc_id").isNull().alias("_dedup_no_id"),
-        F.col("_dedup_digest"),
-    ]
+    on = [f"{free_prefix(docs.columns, '_dedup')}_{name}" for name in ("id", "no_id", "digest")]
+    keys = [F.coalesce("doc_id", F.lit(0)).alias(on[0]), F.col("doc_id").isNull().alias(on[1]), F.col(on[2])]
     names = [F.col(f"`{c}`") for c in docs.columns]
-    kept = resolve(docs).filter("kept").select("doc_id", F.col("digest").alias("_dedup_digest")).select(*keys)
-    marked = docs.withColumn("_dedup_digest", digest(F.col("text"))).select(*names, *keys)
-    on = ["_dedup_id", "_dedup_no_id", "_dedup_digest"]
+    kept = resolve(docs).filter("kept").select("doc_id", F.col("digest").alias(on[2])).select(*keys)
+    marked = docs.withColumn(on[2], digest(F.col("text"))).select(*names, *keys)
     return marked.join(kept, on, "leftsemi").dropDuplicates(on).select(*names)

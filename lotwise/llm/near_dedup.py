@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lotwise.llm.common import id_filter, map_arrow, passing, width, written
+from lotwise.llm.common import free_prefix, id_filter, map_arrow, passing, width, written
 from lotwise.llm.components import components
 from lotwise.llm.tokens import slices
 from lotwise.llm.words import U64, mix, shingle_sets, stream
@@ -387,10 +387,12 @@ def decided(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """All rows: doc_id, n_shingles, component_id, kept.
 
-    Exactly one row of a component is ``kept``: one with its id, or any if no row has an id. Rows
-    without shingles are components of their own.
+    Rows with the component's id are ``kept``: several, if several rows share that id. Of a component
+    in which no row has an id, one row is. Rows without shingles are components of their own.
     """
-    return decided(docs, n, percent).drop("digest")
+    rows = decided(docs, n, percent).drop("digest")
+    by_id = F.col("doc_id") == F.col("component_id")
+    return rows.withColumn("kept", F.when(F.col("doc_id").isNotNull(), by_id).otherwise(F.col("kept")))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -400,13 +402,10 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     without words have no component and all stay.
     """
     names = [F.col(f"`{c}`") for c in docs.columns]
-    keys = [
-        F.coalesce("doc_id", F.lit(0)).alias("_near_id"), F.col("doc_id").isNull().alias("_near_no_id"),
-        F.col("_near_digest"),
-    ]
-    on = ["_near_id", "_near_no_id", "_near_digest"]
-    kept = decided(docs, n, percent).filter("kept AND n_shingles > 0").select("doc_id", F.col("digest").alias("_near_digest")).select(*keys)
+    on = [f"{free_prefix(docs.columns, '_near')}_{name}" for name in ("id", "no_id", "digest")]
+    keys = [F.coalesce("doc_id", F.lit(0)).alias(on[0]), F.col("doc_id").isNull().alias(on[1]), F.col(on[2])]
+    kept = decided(docs, n, percent).filter("kept AND n_shingles > 0").select("doc_id", F.col("digest").alias(on[2])).select(*keys)
     has_words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    marked = docs.filter(has_words).withColumn("_near_digest", text_digest()).select(*names, *keys)
+    marked = docs.filter(has_words).withColumn(on[2], text_digest()).select(*names, *keys)
     chosen = marked.join(kept, on, "leftsemi").dropDuplicates(on).select(*names)
     return chosen.unionByName(docs.filter(~has_words).select(*names))
