@@ -170,6 +170,9 @@ MODELS = [
   SELECT permit_num, md5(trim(description)) AS description_hash, description FROM texts t
   WHERE NOT EXISTS (SELECT 1 FROM fx_scope_cache c
     WHERE c.permit_num = t.permit_num AND c.description_hash = md5(trim(t.description))))""",
+    """counts AS (
+  SELECT (SELECT count(*) FROM texts) AS in_scope, count(*) AS to_label,
+    count(*) FILTER (length(description) % 7 <> 0 AND length(description) % 9 <> 0) AS labelled FROM unlabelled)""",
     """totals AS (
   SELECT w.ward_name, cast(coalesce(sum(s.net_units_created), 0) AS bigint) AS net_units
   FROM (SELECT DISTINCT ward_name FROM ward_rows) w
@@ -288,6 +291,23 @@ SELECTS = {
         WHERE EXISTS (SELECT 1 FROM shown s WHERE s.permit_num = m.permit_num AND s.status = m.status)""",
     "stat_tiles": TILES.format(source="shown"),
     "ward_totals": "SELECT * FROM totals",
+    "load_counts": f"""SELECT 'raw_' || source_status || '_permits' AS name, count(*) AS rows FROM raw_permits
+        WHERE application_date >= '{MIN_DATE}' GROUP BY source_status
+        UNION ALL SELECT 'raw_address_points', count(*) FROM fx_address_points
+        UNION ALL SELECT 'raw_city_wards', count(*) FROM fx_city_wards
+        UNION ALL SELECT 'raw_centreline', count(*) FROM fx_centreline""",
+    "loaded_permits": f"SELECT * FROM raw_permits WHERE application_date >= '{MIN_DATE}'",
+    "loaded_streets": "SELECT * FROM street_rows",
+    "label_counters": """SELECT 'in_scope' AS counter, in_scope AS n FROM counts UNION ALL SELECT 'to_label', to_label FROM counts
+        UNION ALL SELECT 'labelled', labelled FROM counts UNION ALL SELECT 'failed', to_label - labelled FROM counts
+        UNION ALL SELECT 'cached', labelled + (SELECT count(*) FROM fx_scope_cache) FROM counts
+        UNION ALL SELECT 'resumed', 0""",
+    "without_labeler": "SELECT * FROM fx_scope_cache",
+    "merged_labels": """SELECT permit_num, description_hash, cast(row_number() OVER (
+          ORDER BY permit_num, description_hash) AS integer) AS place FROM (
+        SELECT permit_num, description_hash FROM fx_scope_cache UNION ALL
+        SELECT permit_num, description_hash FROM unlabelled
+        WHERE length(description) % 7 <> 0 AND length(description) % 9 <> 0) m""",
     "facet_cube": "SELECT * FROM cube",
     "cube_tiles": TILES.format(source="shown"),
     "narrow_cube_tiles": TILES.format(source="narrow"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lotwise import schemas as V
 from lotwise.checks import fixtures, stub_labeler
@@ -12,11 +12,11 @@ from lotwise.functions import categories, geojson
 from lotwise.functions.rules import with_rule_labels
 from lotwise.operators import facets, geocode, labels, scope
 from lotwise.operators.facets import Facets
-from lotwise.plans import core, cube, map_view, marts, quality, staging
+from lotwise.plans import core, cube, daily, map_view, marts, quality, staging
 from lotwise.session import prepare, scratch_path
 from lotwise.sources import features, landed
 from lotwise.sources.label_store import LabelStore
-from lotwise.sources.tables import stored
+from lotwise.sources.tables import Warehouse, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -183,12 +183,7 @@ def cache_upsert(raw: core.RawTables) -> DataFrame:
 @located_query
 def label_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels after a run with the stub labeler, read from the store it wrote."""
-    raw = fixtures.ViewTables(spark, sf_dir)
-    store = LabelStore(spark, scratch_path(spark, "labels"))
-    store.write(raw.labels)
-    texts = scope.texts_to_label(core.scoped_permits(raw, staging.TEXT))
-    labels.refresh(texts, store, stub_labeler.label, stub_labeler.MODEL, CALLS_PER_COMMIT)
-    return store.read()
+    return label_store_after(spark, sf_dir, stub_labeler.label)[0].read()
 
 
 @query
@@ -382,14 +377,89 @@ def pyramid_bins(raw: core.RawTables) -> DataFrame:
 
 @query
 def quality_report(raw: core.RawTables) -> DataFrame:
-    addresses = staging.addresses(raw.address_points)
-    labelled = stored(core.labelled_permits(raw), "labelled")
+    staged = stored(staging.permits(raw.permits, staging.TEXT), "staged")
+    labelled = stored(core.labelled(staged, raw.labels), "labelled")
     keys = labelled.select(*geocode.PERMIT_ID, "geo_id", *geocode.STREET_KEY)
-    return quality.report(
-        raw.permits,
-        staging.permits(raw.permits, staging.SCOPE),
-        raw.address_points,
-        addresses,
-        geocode.resolve(keys, raw.address_rows, raw.place_keys),
-        labelled,
-    )
+    placed = geocode.resolve(keys, raw.address_rows, raw.place_keys)
+    return quality.report(raw.permits, staged, raw.address_rows.numbered, placed, labelled)
+
+
+# What a run leaves behind
+
+
+def landed_sources(spark: SparkSession, sf_dir: str) -> str:
+    """All five sources as landed pages, in folders of their names."""
+    path = scratch_path(spark, "landing")
+    permits = fixtures.view(spark, sf_dir, "fx_permits")
+    number = F.substring("permit_num", 2, 20).cast("bigint")
+    for source, status in (("cleared_permits", V.CLEARED), ("active_permits", V.ACTIVE)):
+        fixtures.land_pages(permits.filter(F.col("source_status") == status), f"{path}/{source}", V.PERMIT_COLUMNS, number)
+    for source in ("address_points", "city_wards", "centreline"):
+        rows = fixtures.view(spark, sf_dir, f"fx_{source}")
+        fixtures.land_pages(rows, f"{path}/{source}", V.SOURCES[source], F.monotonically_increasing_id())
+    return path
+
+
+def loaded(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse with the raw tables of one run, opened again after the run."""
+    root = scratch_path(spark, "warehouse")
+    run = Warehouse(spark, root).begin()
+    daily.load_raw(spark, landed_sources(spark, sf_dir), run, fixtures.MIN_DATE)
+    run.publish()
+    return Warehouse(spark, root)
+
+
+@located_query
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per raw table, as the commit of the run says."""
+    return spark.createDataFrame(sorted(loaded(spark, sf_dir).rows().items()), "name string, rows bigint")
+
+
+@located_query
+def loaded_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both raw permit tables read back by their names."""
+    tables = loaded(spark, sf_dir)
+    both = staging.both_sources(*[tables.read(f"raw_{source}") for source in daily.PERMIT_SOURCES])
+    return both.toDF(*[c.lower() for c in both.columns])
+
+
+@located_query
+def loaded_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The street table staged from its raw table, stored, and read back."""
+    tables = loaded(spark, sf_dir)
+    run = tables.begin()
+    run.save(staging.streets(tables.read("raw_centreline")), "stg_centreline")
+    run.publish()
+    return Warehouse(spark, tables.root).read("stg_centreline")
+
+
+def label_store_after(spark: SparkSession, sf_dir: str, labeler: labels.Labeler | None) -> tuple[LabelStore, labels.LabelRun | None]:
+    raw = fixtures.ViewTables(spark, sf_dir)
+    store = LabelStore(spark, scratch_path(spark, "labels"))
+    store.write(raw.labels)
+    texts = scope.texts_to_label(core.scoped_permits(raw, staging.TEXT))
+    return store, labels.refresh(texts, store, labeler, stub_labeler.MODEL, CALLS_PER_COMMIT)
+
+
+@located_query
+def label_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of a labelling run."""
+    run = label_store_after(spark, sf_dir, stub_labeler.label)[1]
+    counted = {name: getattr(run, name) for name in ("in_scope", "to_label", "labelled", "failed", "cached", "resumed")}
+    return spark.createDataFrame(sorted(counted.items()), "counter string, n bigint")
+
+
+@located_query
+def without_labeler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels after a run without a labeler: those of before."""
+    return label_store_after(spark, sf_dir, None)[0].read()
+
+
+@located_query
+def merged_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base after a run's delta was merged into it, with the place of each row in its files."""
+    store = label_store_after(spark, sf_dir, stub_labeler.label)[0]
+    store.compact(share=0.0)
+    rows = spark.read.schema(V.CACHE_SCHEMA).parquet(f"{store.latest()}/base")
+    place = F.row_number().over(Window.orderBy("_metadata.file_name", "_metadata.row_index"))
+    return rows.select("permit_num", "description_hash", place.alias("place"))

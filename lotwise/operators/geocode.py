@@ -82,7 +82,7 @@ class AddressIndex:
         whole = all_present(PLACE)
         others = F.xxhash64("ward", "geom")
         numbered = addresses.select(
-            "address_point_id", *STREET_KEY, *PLACE, whole.alias("is_whole"), others.alias("others"),
+            *addresses.columns, whole.alias("is_whole"), F.col("geom").isNotNull().alias("geom_read"), others.alias("others"),
             F.monotonically_increasing_id().alias("address_row"),
         )
         self.numbered = stored(numbered, "address-rows")

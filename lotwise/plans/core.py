@@ -35,7 +35,7 @@ class RawTables:
     @cached_property
     def address_rows(self) -> geocode.AddressIndex:
         """Staged addresses, numbered and stored once for all look-ups of a query."""
-        return geocode.AddressIndex(staging.addresses(self.address_points))
+        return geocode.AddressIndex(staging.addresses(self.address_points, with_given=True))
 
     @cached_property
     def place_keys(self) -> geocode.HotKeys:
@@ -59,7 +59,12 @@ def scoped_permits(raw: RawTables, columns: list[str]) -> DataFrame:
 
 
 def labelled_permits(raw: RawTables) -> DataFrame:
-    return labels.with_labels(with_rule_labels(scoped_permits(raw, staging.TEXT)), raw.labels)
+    return labelled(staging.permits(raw.permits, staging.TEXT), raw.labels)
+
+
+def labelled(staged: DataFrame, cache: DataFrame) -> DataFrame:
+    """Staged permits in scope with typed units and labels."""
+    return labels.with_labels(with_rule_labels(scope.with_units(scope.in_scope(staged))), cache)
 
 
 def permits_core(raw: RawTables) -> DataFrame:

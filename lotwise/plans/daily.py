@@ -71,13 +71,13 @@ def build_marts(run: Run, cache: DataFrame) -> None:
 
 def build_quality(run: Run) -> DataFrame:
     """The quality report over what this run stored."""
-    scoped, addresses = run.read("scoped_permits"), run.read("stg_address_points")
+    scoped = run.read("scoped_permits")
+    rows = geocode.AddressIndex(staging.addresses(run.read("raw_address_points"), with_given=True))
     keys = scoped.select(*geocode.PERMIT_ID, "geo_id", *geocode.STREET_KEY)
-    hot = geocode.measure_hot_keys(scoped, addresses, run.read("stg_centreline"))
+    hot = geocode.measure_hot_keys(scoped, rows.numbered)
     report = quality.report(
         staging.both_sources(*[run.read(f"raw_{source}") for source in PERMIT_SOURCES]),
-        run.read("stg_permits"), run.read("raw_address_points"), addresses,
-        geocode.resolve(keys, addresses, hot), scoped,
+        run.read("stg_permits"), rows.numbered, geocode.resolve(keys, rows, hot), scoped,
     )
     return run.save(report, "quality_report")
 

@@ -50,6 +50,25 @@ def repeated_addresses(addresses: DataFrame) -> DataFrame:
     )
 
 
+def address_findings(rows: DataFrame) -> DataFrame:
+    """Repeated ids, geometries given and geometries read, in one pass over numbered address rows
+    (``address_point_id``, ``geom_given``, ``geom_read``): what is shuffled is one row per id."""
+    per_id = rows.groupBy("address_point_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("geom_given").alias("given"), F.count_if("geom_read").alias("read")
+    )
+    repeated = F.col("address_point_id").isNotNull() & (F.col("rows") > 1)
+    counts = per_id.agg(
+        F.count_if(repeated).alias("repeated address ids"),
+        F.coalesce(F.sum("given"), F.lit(0)).alias("given"), F.coalesce(F.sum("read"), F.lit(0)).alias("read"),
+    )
+    long = counts.unpivot([], counts.columns, "name", "n")
+    total = F.col("name") == "repeated address ids"
+    return long.select(
+        F.when(total, F.col("name")).otherwise("geometry").alias("finding"),
+        F.when(total, "all").otherwise(F.col("name")).alias("detail"), "n",
+    )
+
+
 def bad_geometry(raw_addresses: DataFrame, addresses: DataFrame) -> DataFrame:
     """Geometry texts given, and geometries read."""
     given = raw_addresses.agg(F.count("geometry").alias("n")).select(F.lit("given").alias("detail"), "n")
@@ -79,17 +98,12 @@ def label_pairs(labelled: DataFrame) -> DataFrame:
 
 
 def report(
-    raw_permits: DataFrame, staged: DataFrame, raw_addresses: DataFrame, addresses: DataFrame,
-    placed: DataFrame, labelled: DataFrame,
+    raw_permits: DataFrame, staged: DataFrame, address_rows: DataFrame, placed: DataFrame, labelled: DataFrame,
 ) -> DataFrame:
+    """All findings. Every frame is read for one aggregate: raw permits only in the columns that may
+    be unreadable, addresses in the narrow columns of their numbered rows."""
     parts = [
-        permit_keys(staged),
-        unreadable(raw_permits),
-        repeated_addresses(addresses).agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit("repeated address ids").alias("finding"), F.lit("all").alias("detail"), "n"
-        ),
-        bad_geometry(raw_addresses, addresses),
-        geocode_rate(placed),
+        permit_keys(staged), unreadable(raw_permits), address_findings(address_rows), geocode_rate(placed),
         label_agreement(labelled),
     ]
     return reduce(DataFrame.unionByName, parts)

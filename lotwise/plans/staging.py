@@ -66,7 +66,9 @@ def permits(raw: DataFrame, columns: list[str] = ALL) -> DataFrame:
     return latest_revisions(permit_rows(raw, columns))
 
 
-def addresses(raw: DataFrame) -> DataFrame:
+def addresses(raw: DataFrame, with_given: bool = False) -> DataFrame:
+    """``with_given`` adds whether a geometry was given at all, readable or not."""
+    given = [F.col("geometry").isNotNull().alias("geom_given")] if with_given else []
     return raw.select(
         clean.whole_number("address_point_id", "bigint").alias("address_point_id"),
         clean.street_number("address_number").alias("street_num"),
@@ -76,6 +78,7 @@ def addresses(raw: DataFrame) -> DataFrame:
         F.col("address_full").alias("full_address"),
         F.col("ward_name").alias("ward"),
         geometry("geometry").alias("geom"),
+        *given,
     )
 
 
