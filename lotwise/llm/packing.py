@@ -204,11 +204,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFra
     table = slots(configurations(histogram, capacity))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = counted.select("length", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    # One shuffle of the ids, by (length, bucket), serves the row numbers and the join.
+    # One shuffle of the ids, by (length, bucket), serves the row numbers and the join. The sums grow
+    # with the width of the shuffle: they are shuffled too, not broadcast.
     within = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids")
     ranked = (
         rows.withColumn("place", F.row_number().over(within) - 1)
-        .join(bases, ["length", "bucket"])
+        .join(bases.hint("merge"), ["length", "bucket"])
         .select("doc_id", "piece", "start", "length", "ids", (F.col("before") + F.col("place")).alias("rank"))
     )
 
