@@ -32,30 +32,37 @@ def with_one_row(df: DataFrame, row: DataFrame, by: list[str]) -> DataFrame:
 
 
 def values_at(pairs: DataFrame, by: list[str], wanted: Column) -> DataFrame:
-    """``rank`` and ``value`` of the wanted ranks of each group, a row per rank.
+    """``found``: an array of (rank, value) of the wanted ranks, a row per group or one row in all.
 
     ``pairs`` has ``by``, ``value`` and ``n``; ``wanted`` is an array of ranks from 0, made from the
-    group's total ``n``. A rank that there is not gives no row.
+    group's total ``n``. A rank that there is not is left out.
     """
-    places = F.transform(F.array_distinct(wanted), lambda r: F.struct(r.alias("rank"), r.alias("rest")))
-    found = pairs.groupBy(*by).agg(F.sum("n").alias("n")).select(*by, places.alias("places"))
-    group = [*by]
+    # What goes on to the next step: the ranks, how far each lies behind the start of the prefix that
+    # is known to hold it, and that prefix. A handful per group.
+    first = F.transform(
+        F.array_distinct(wanted), lambda r: F.struct(r.alias("rank"), r.alias("rest"), F.lit(0).cast("bigint").alias("known"))
+    )
+    found = pairs.groupBy(*by).agg(F.sum("n").alias("n")).select(*by, first.alias("places"))
     for shift in range(64 - BITS, -1, -BITS):
-        steps = pairs.select(*by, F.shiftright("value", shift).alias("prefix"), "n")
-        if shift < 64 - BITS:
-            # Only what lies below a prefix that holds a wanted rank goes on.
-            steps = steps.withColumn("known", F.shiftright("prefix", BITS)).join(found, group)
-            sums = steps.groupBy(*group, "prefix").agg(F.sum("n").alias("n"), F.any_value("places").alias("places"))
-        else:
-            sums = with_one_row(steps.groupBy(*group, "prefix").agg(F.sum("n").alias("n")), found, by)
-        # The ranks that a prefix holds, from here on counted from its start.
-        after = F.sum("n").over(Window.partitionBy(*group).orderBy("prefix"))
-        sums = sums.withColumn("after", after).withColumn("before", F.col("after") - F.col("n"))
-        inside = F.filter("places", lambda p: (p["rest"] >= F.col("before")) & (p["rest"] < F.col("after")))
-        moved = F.transform(inside, lambda p: F.struct(p["rank"].alias("rank"), (p["rest"] - F.col("before")).alias("rest")))
-        found = sums.select(*by, F.col("prefix").alias("known"), moved.alias("places")).filter(F.size("places") > 0)
-        group = [*by, "known"]
-    return found.select(*by, F.explode("places.rank").alias("rank"), F.col("known").alias("value"))
+        known = F.lit(0).cast("bigint") if shift == 64 - BITS else F.shiftright("value", shift + BITS)
+        steps = pairs.select(*by, known.alias("known"), F.shiftright("value", shift).alias("prefix"), "n")
+        # Only what lies below a prefix that holds a wanted rank goes on.
+        below = with_one_row(steps, found, by).filter(F.exists("places", lambda p: p["known"] == F.col("known")))
+        sums = below.groupBy(*by, "known", "prefix").agg(F.sum("n").alias("n"), F.any_value("places").alias("places"))
+        sums = sums.withColumn("after", F.sum("n").over(Window.partitionBy(*by, "known").orderBy("prefix")))
+        before = F.col("after") - F.col("n")
+        inside = F.filter(
+            "places", lambda p: (p["known"] == F.col("known")) & (p["rest"] >= before) & (p["rest"] < F.col("after"))
+        )
+        moved = F.transform(
+            inside, lambda p: F.struct(p["rank"].alias("rank"), (p["rest"] - before).alias("rest"), F.col("prefix").alias("known"))
+        )
+        found = (
+            sums.select(*by, moved.alias("places")).filter(F.size("places") > 0)
+            .groupBy(*by).agg(F.flatten(F.collect_list("places")).alias("places"))
+        )
+    each = F.transform("places", lambda p: F.struct(p["rank"].alias("rank"), p["known"].alias("value")))
+    return found.select(*by, each.alias("found"))
 
 
 def quantiles(df: DataFrame, value: str, shares: list[float], by: list[str] = ()) -> DataFrame:
@@ -63,19 +70,13 @@ def quantiles(df: DataFrame, value: str, shares: list[float], by: list[str] = ()
     doubles per group; a row for each group that has a value."""
     by = list(by)
     pairs = counted(df, value, by)
-
-    def position(share: float) -> Column:
-        return (F.col("n") - 1) * F.lit(share)
-
-    ends = [end(position(s)).cast("bigint") for s in shares for end in (F.floor, F.ceil)]
-    at = values_at(pairs, by, F.array(*ends))
-    total = pairs.groupBy(*by).agg(F.sum("n").alias("n"))
-    known = at.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("rank", F.col("value").cast("double")))).alias("known"))
-    joined = with_one_row(total, known, by)
-
-    def between(share: float) -> Column:
-        at, low, high = position(share), F.floor(position(share)).cast("bigint"), F.ceil(position(share)).cast("bigint")
-        below, above = F.element_at("known", low), F.element_at("known", high)
-        return F.when(low == high, below).otherwise((high - at) * below + (at - low) * above)
-
-    return joined.select(*by, F.array(*[between(s) for s in shares]).alias("quantiles"))
+    position = [(F.col("n") - 1) * F.lit(float(share)) for share in shares]
+    low, high = [[end(p).cast("bigint") for p in position] for end in (F.floor, F.ceil)]
+    doubles = F.transform("found", lambda f: F.struct(f["rank"].alias("rank"), f["value"].cast("double").alias("value")))
+    known = values_at(pairs, by, F.array(*low, *high)).select(*by, F.map_from_entries(doubles).alias("at"))
+    joined = with_one_row(pairs.groupBy(*by).agg(F.sum("n").alias("n")), known, by)
+    between = [
+        F.when(a == b, F.element_at("at", a)).otherwise((b - p) * F.element_at("at", a) + (p - a) * F.element_at("at", b))
+        for p, a, b in zip(position, low, high)
+    ]
+    return joined.select(*by, F.array(*between).alias("quantiles"))

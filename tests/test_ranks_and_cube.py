@@ -24,13 +24,14 @@ def test_ranks_of_any_whole_numbers(spark):
     values += [2**63 - 1, -(2**63), 0, 65535, 65536, -65536, 2**32, 2**48 - 1]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)] + [(None, 0), (5, None)], "v bigint, g int")
     every = F.sequence(F.lit(0).cast("bigint"), F.col("n"), F.lit(53).cast("bigint"))
-    got = ranks.values_at(ranks.counted(df.filter("g IS NOT NULL"), "v", []), [], every).collect()
+    [got] = ranks.values_at(ranks.counted(df.filter("g IS NOT NULL"), "v", []), [], every).collect()
     ordered = sorted(values)
-    assert {r["rank"]: r["value"] for r in got} == {k: ordered[k] for k in range(0, len(ordered), 53)}
+    assert {r["rank"]: r["value"] for r in got["found"]} == {k: ordered[k] for k in range(0, len(ordered), 53)}
     for group in range(3):
         mine = sorted(v for i, v in enumerate(values) if i % 3 == group)
         found = ranks.values_at(ranks.counted(df, "v", ["g"]), ["g"], F.array(F.lit(0).cast("bigint"), F.col("n") - 1, F.col("n")))
-        assert {r["rank"]: r["value"] for r in found.filter(F.col("g") == group).collect()} == {0: mine[0], len(mine) - 1: mine[-1]}
+        [row] = found.filter(F.col("g") == group).collect()
+        assert {r["rank"]: r["value"] for r in row["found"]} == {0: mine[0], len(mine) - 1: mine[-1]}
 
 
 @pytest.mark.parametrize("values", [[7], [1, 1, 1], [3, 1, 2], list(range(101)), [-5, 10**12, 0, 0, 3]])
@@ -64,7 +65,7 @@ def test_no_window_holds_all_values(spark):
     df = spark.range(10).selectExpr("id AS v")
     plan = ranks.quantiles(df, "v", [0.5])._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    # Only the first step has one window for everything: over at most 2^16 sums.
+    # Windows run over the sums below one prefix, 2^16 at most; the first step knows only one.
     assert windows and all("prefix" in w for w in windows) and "percentile" not in plan
 
 
