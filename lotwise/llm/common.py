@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 
@@ -15,6 +16,8 @@ import lotwise
 from lotwise.session import scratch_path, shuffle_width
 
 ARROW_BYTES = 16 << 20
+# Input after which a worker gives freed memory back to the system.
+RETURN_BYTES = 4 << 20
 LETTERS_UP = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LETTERS_LOW = LETTERS_UP.lower()
 
@@ -29,28 +32,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def map_arrow(
     df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType,
-    remembers: bool = False,
+    remembers: bool = False, batch_bytes: int = ARROW_BYTES,
 ) -> DataFrame:
     """``mapInArrow`` whose functions reach workers that cannot import this package.
 
     Batches are limited in bytes as well as in rows, so that a run of very long texts does
     not have to fit a worker's memory at once. Workers go from one stage to the next: a stage
-    that does not itself remember objects drops what stages before have left in them.
+    that does not itself remember objects drops what stages before have left in them. Spark reads
+    the limit when the rows are computed: one of its own holds if these are written at once.
     """
     cloudpickle.register_pickle_by_value(lotwise)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
 
     def task(batches):
         if not remembers:
             worker_store().clear()
+            return_memory()
         try:
-            yield from run(batches)
+            yield from run(_returning(batches))
         finally:
-            pa.default_memory_pool().release_unused()
+            return_memory()
 
     return df.mapInArrow(task, schema)
 
 
+def return_memory() -> None:
+    """Gives memory that Arrow and the C library hold but do not use back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def _returning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; freed memory is returned as they go by, not only when all are done."""
+    size = 0
+    for batch in batches:
+        size += batch.nbytes
+        yield batch
+        del batch
+        if size >= RETURN_BYTES:
+            return_memory()
+            size = 0
+
+
 def worker_store() -> dict:
     """Objects that live in this Python worker from task to task, while stages remember."""
     return sys.__dict__.setdefault("_lotwise_worker_store", {})

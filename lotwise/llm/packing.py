@@ -29,6 +29,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lotwise.llm.common import map_arrow, width, written
 from lotwise.llm.tokens import ENCODED_CHARS, encoder, end_marked, slices
 
+# Texts that wait in a worker, and in the JVM beside it, for the encoder, which is large itself.
+WAITING_BYTES = 2 * ENCODED_CHARS
+
 ROUNDS = 40
 STEP = 0.5
 # A configuration emptier than this is left to best fit.
@@ -191,8 +194,11 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "piece", "start", "length", "ids"]
                 )
+            # Not beside the next batch.
+            del batch, texts
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, piece int, start long, length long, ids binary", remembers=True)
+    schema = "doc_id long, piece int, start long, length long, ids binary"
+    return map_arrow(docs.select("doc_id", "text"), run, schema, remembers=True, batch_bytes=WAITING_BYTES)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:

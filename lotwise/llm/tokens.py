@@ -154,13 +154,17 @@ class Encoder:
         """Arrow cuts the texts and numbers their distinct pieces; only these are looked up."""
         runs = pc.match_substring_regex(pa.array(texts, pa.large_string()), RUN).to_pylist()
         cut = pc.split_pattern(pa.array(map(marked, texts, runs), pa.large_string()), "\0")
-        numbered = cut.values.dictionary_encode()
-        distinct = numbered.dictionary.to_pylist()
+        bounds, numbered = cut.offsets, cut.values.dictionary_encode()
+        # The pieces one by one take more than the texts: they go before others are learnt.
+        del runs, cut
+        distinct, numbers = numbered.dictionary.to_pylist(), numbered.indices
+        del numbered
         self._learn(self.pieces.unknown(set(distinct)))
         known = self.pieces.now
-        ids = pa.array([known[piece] for piece in distinct], pa.large_binary()).take(numbered.indices)
+        ids = pa.array([known[piece] for piece in distinct], pa.large_binary()).take(numbers)
+        del distinct, numbers
         _, ends, data = ids.buffers()
-        at = np.frombuffer(ends, np.int64)[cut.offsets.to_numpy()].tolist()
+        at = np.frombuffer(ends, np.int64)[bounds.to_numpy()].tolist()
         every = memoryview(data or b"")
         out = [every[begin:end].tobytes() for begin, end in zip(at, at[1:])]
         own = [i for i, text in enumerate(texts) if "\0" in text]
