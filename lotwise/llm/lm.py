@@ -33,6 +33,7 @@ each token the probability 1, as does the model.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cached_property
 from math import log10
 
 import numpy as np
@@ -153,8 +154,24 @@ class Tree:
         """Places of tokens among the common words, and whether they are there."""
         if not len(self.words):
             return np.zeros(len(tokens), np.int64), np.zeros(len(tokens), bool)
-        at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        return at, self.words[at] == tokens
+        # Words are hashes: their first bits nearly tell their places.
+        at = self.starts.take((tokens >> U64(64 - self.start_bits)).astype(np.intp))
+        left = np.flatnonzero(self.words.take(at) < tokens)
+        while len(left):
+            left = left[at.take(left) < len(self.words) - 1]
+            at[left] += 1
+            left = left[self.words.take(at.take(left)) < tokens.take(left)]
+        return at, self.words.take(at) == tokens
+
+    @property
+    def start_bits(self) -> int:
+        return max(1, len(self.words).bit_length())
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """Place of the first word, or of the last one, with at least these first bits."""
+        prefixes = np.arange(1 << self.start_bits, dtype=U64) << U64(64 - self.start_bits)
+        return np.minimum(np.searchsorted(self.words, prefixes), len(self.words) - 1)
 
     def paths(self, tokens: np.ndarray, at: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Depth and slot of each token."""
@@ -232,7 +249,7 @@ class Model:
     def logits(self, rows: np.ndarray) -> np.ndarray:
         """Of every class, per token."""
         logits = np.empty((rows.shape[1], CLASSES), np.float32)
-        logits[:] = self.bias()
+        logits[:] = self.bias
         return _gathered(logits, self.weights, rows)
 
     def log_shares(self, rows: np.ndarray) -> np.ndarray:
@@ -241,6 +258,7 @@ class Model:
         sums = _powers(logits)[1]
         return logits - np.log(sums)[:, None]
 
+    @cached_property
     def bias(self) -> np.ndarray:
         return np.log(self.class_mass / self.class_mass.sum()).astype(np.float32)
 
@@ -351,14 +369,33 @@ def _updates(sums: list[tuple[np.ndarray, np.ndarray]]):
         )
 
 
+def _in_order(at: np.ndarray) -> np.ndarray:
+    """Places of the values in ascending order, equal ones as they stand; numpy sorts sixteen bits by radix."""
+    order = np.argsort(at.astype(np.uint16, copy=False), kind="stable")
+    if at.dtype.itemsize > 2:
+        order = order.take(np.argsort((at >> 16).astype(np.uint16).take(order), kind="stable"))
+    return order
+
+
+def _put(weights: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Rows of a table replaced, each moved as one item."""
+    row = np.dtype((np.void, weights.strides[0]))
+    np.put(weights.view(row)[:, 0], at, rows.view(row)[:, 0], "clip")
+
+
 def _row_sums(slope: np.ndarray, order: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sums of the slopes of each run of ``order``; those of ``SHORT_RUN`` and more come first, others longest first."""
+    """Sums of the slopes of each run of ``order``, step by step for all runs that go on, longest first."""
     sums = slope.take(order.take(first), 0)
+    many = np.flatnonzero(n > 1)
+    many = many.take(np.argsort((SHORT_RUN - np.minimum(n.take(many), SHORT_RUN)).astype(np.uint8), kind="stable"))
+    first, n = first.take(many), n.take(many)
     longer = np.searchsorted(-np.minimum(n, SHORT_RUN), -np.arange(SHORT_RUN))
+    part = sums.take(many, 0)
     for step in range(1, SHORT_RUN):
-        sums[: longer[step]] += slope.take(order.take(first[: longer[step]] + step), 0)
+        part[: longer[step]] += slope.take(order.take(first[: longer[step]] + step), 0)
     for run in range(longer[SHORT_RUN - 1]):
-        sums[run] += slope.take(order[first[run] + SHORT_RUN : first[run] + n[run]], 0).sum(axis=0)
+        part[run] += slope.take(order[first[run] + SHORT_RUN : first[run] + n[run]], 0).sum(axis=0)
+    _put(sums, many, part)
     return sums
 
 
@@ -367,21 +404,19 @@ def _descend(weights: np.ndarray, use: np.ndarray, rows: np.ndarray, slope: np.n
     if not len(slope):
         return
     at = rows.ravel()
-    # Sixteen bits are sorted by radix.
-    order = np.argsort(at, kind="stable" if at.dtype.itemsize == 2 else None)
+    order = _in_order(at)
     at = at.take(order)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     n = np.diff(first, append=len(order))
-    longest = np.argsort(-np.minimum(n, SHORT_RUN).astype(np.int16), kind="stable")
-    first, n = first[longest], n[longest]
     at = at.take(first).astype(np.intp)
-    sums = _row_sums(slope, order % len(slope), first, n)
+    order %= len(slope)
+    sums = _row_sums(slope, order, first, n)
     n = n.astype(np.float32)
     used = use.take(at) + n
     use[at] = used
     # A row's mean slope, with a rate that falls as the row is used.
     sums *= (np.float32(RATE) / np.sqrt(n * (1 + used)))[:, None]
-    weights[at] = weights.take(at, 0) - sums
+    _put(weights, at, np.subtract(weights.take(at, 0), sums, out=sums))
 
 
 def _round(docs: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:

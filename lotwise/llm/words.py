@@ -26,13 +26,16 @@ def stream(begin: int, end: int, seed: int) -> np.ndarray:
 
 
 BYTE_VALUE = stream(1, 257, 11)
+# Nothing for white space.
+INSIDE, INSIDE_VALUE = ~SPACE, np.where(SPACE, U64(0), BYTE_VALUE)
 PLACE_TABLE = stream(0, 1 << 12, 22) | U64(1)
 
 
-def _place_factor(place: np.ndarray) -> np.ndarray:
-    if len(place) and place.max() >= len(PLACE_TABLE):
+def _place_factor(place: np.ndarray, longest: int) -> np.ndarray:
+    """Factors of places in words; any factor beyond the longest word."""
+    if longest > len(PLACE_TABLE):
         return mix(place.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(22)) | U64(1)
-    return PLACE_TABLE[place]
+    return PLACE_TABLE.take(place, mode="clip")
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -44,18 +47,21 @@ def words_and_endings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     """As ``word_hashes``, and each word's last three bytes as a number, shorter ones with zeros."""
     buffer = np.frombuffer(b" ".join(texts), dtype=np.uint8)
     ends = np.cumsum([len(t) + 1 for t in texts])
-    inside = ~SPACE[buffer]
-    at = np.flatnonzero(inside)
-    if not len(at):
+    inside = np.concatenate([[False], INSIDE.take(buffer), [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    first, lengths = edges[::2], edges[1::2] - edges[::2]
+    if not len(first):
         return np.zeros(0, U64), np.zeros(len(texts), np.int64), np.zeros(0, np.int64)
-    first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
-    lengths = np.diff(first, append=len(at))
-    place = np.arange(len(at)) - np.repeat(first, lengths)
-    sums = np.add.reduceat(BYTE_VALUE[buffer[at]] * _place_factor(place), first)
-    last, ending = at[first] + lengths - 1, np.zeros(len(first), np.int64)
+    # White space after a word has the value 0, so it may count as part of it.
+    place = np.arange(first[0], len(buffer))
+    place -= np.repeat(first, np.diff(first, append=len(buffer)))
+    values = INSIDE_VALUE.take(buffer[first[0] :])
+    values *= _place_factor(place, lengths.max())
+    sums = np.add.reduceat(values, first - first[0])
+    last, ending = edges[1::2] - 1, np.zeros(len(first), np.int64)
     for back in range(3):
-        ending = ending * 256 + np.where(lengths > back, buffer[np.maximum(last - back, 0)], 0)
-    return mix(sums + lengths.astype(U64)), np.searchsorted(at[first], ends), ending
+        ending = ending * 256 + np.where(lengths > back, buffer.take(np.maximum(last - back, 0)), 0)
+    return mix(sums + lengths.astype(U64)), np.searchsorted(first, ends), ending
 
 
 def run_hashes(words: np.ndarray, n: int) -> np.ndarray:

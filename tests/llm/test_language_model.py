@@ -8,7 +8,7 @@ import numpy as np
 from small_docs import documents
 
 from lotwise.llm import lm
-from lotwise.llm.words import U64
+from lotwise.llm.words import U64, words_and_endings
 
 
 def test_history_tells_words_of_a_class_apart(spark):
@@ -88,3 +88,37 @@ def test_logits_out_of_range_are_shifted():
     want = logits - np.log(np.exp(logits.astype(float)).sum(axis=1, keepdims=True))
     for truth in range(3):
         assert np.allclose(lm._log_share(logits.copy(), np.full(3, truth)), want[:, truth], atol=1e-4)
+
+
+def test_rows_of_any_width_are_summed_in_the_order_of_tokens():
+    draw = np.random.default_rng(5)
+    rows = (draw.zipf(1.3, (3, 9000)) % 60000).astype(np.uint16)
+    slope = draw.normal(size=(9000, lm.FAN)).astype(np.float32)
+    found = []
+    for kind, more in ((np.uint16, 0), (np.uint32, 0), (np.uint32, 70000)):
+        weights, use = np.zeros((130000, lm.FAN), np.float32), np.zeros(130000, np.float32)
+        lm._descend(weights, use, rows.astype(kind) + kind(more), slope)
+        found.append((weights[more : more + 60000], use[more : more + 60000]))
+        assert use.sum() == 27000
+    for weights, use in found[1:]:
+        assert (weights == found[0][0]).all() and (use == found[0][1]).all()
+
+
+def test_common_words_are_found_at_their_places():
+    draw = np.random.default_rng(6)
+    every = np.unique(np.concatenate([draw.integers(0, 2**64, 3000, U64), U64(1 << 63) + np.arange(40, dtype=U64), np.array([0, 2**64 - 1], U64)]))
+    for words in (every[:0], every[:1], every[-1:], every[:3], every):
+        tree = lm.Tree(1, words, np.ones(len(words)), *[np.zeros(0)] * 5)
+        asked = np.concatenate([every, every + U64(1), every - U64(1)])
+        at, found = tree.find(asked)
+        assert (found == np.isin(asked, words)).all()
+        assert (words[at[found]] == asked[found]).all() and (not len(words) or (0 <= at.min() and at.max() < len(words)))
+
+
+def test_words_are_hashed_alike_wherever_they_stand():
+    long = "x" * 5000
+    alone = [words_and_endings([w.encode()]) for w in ("ab", "é", long, "z")]
+    blank = " " * 6000
+    words, ends, endings = words_and_endings([t.encode() for t in ("", f"{blank}ab\t\né ", blank, f"{long}\x0b{blank}z", "")])
+    assert (words == [a[0][0] for a in alone]).all() and (endings == [a[2][0] for a in alone]).all()
+    assert ends.tolist() == [0, 2, 2, 4, 4]
