@@ -110,15 +110,27 @@ def _powers(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return powers, sums
 
 
+def _true_powers(logits: np.ndarray, truth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The true one's logit, exp of the logits, and its sum per token; the logits are written over."""
+    places = np.arange(len(logits))
+    own = logits[places, truth]
+    # Then sums lie between exp(-60) and 64 * exp(60).
+    if len(own) and own.min() > -60 and logits.max() < 60:
+        powers = np.exp(logits, out=logits)
+        return own, powers, powers @ np.ones(logits.shape[1], np.float32)
+    powers, sums = _powers(logits)
+    return logits[places, truth], powers, sums
+
+
 def _log_share(logits: np.ndarray, truth: np.ndarray) -> np.ndarray:
-    """Natural log of the true one's probability, per token."""
-    sums = _powers(logits)[1]
-    return logits[np.arange(len(logits)), truth] - np.log(sums)
+    """Natural log of the true one's probability, per token; the logits are written over."""
+    own, _, sums = _true_powers(logits, truth)
+    return own - np.log(sums)
 
 
 def _slope(logits: np.ndarray, truth: np.ndarray) -> np.ndarray:
-    """Probabilities, less 1 for the true one."""
-    slope, sums = _powers(logits)
+    """Probabilities, less 1 for the true one; the logits are written over."""
+    _, slope, sums = _true_powers(logits, truth)
     slope *= (1 / sums)[:, None]
     slope[np.arange(len(slope)), truth] -= 1
     return slope

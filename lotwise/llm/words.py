@@ -31,11 +31,10 @@ INSIDE, INSIDE_VALUE = ~SPACE, np.where(SPACE, U64(0), BYTE_VALUE)
 PLACE_TABLE = stream(0, 1 << 12, 22) | U64(1)
 
 
-def _place_factor(place: np.ndarray, longest: int) -> np.ndarray:
-    """Factors of places in words; any factor beyond the longest word."""
-    if longest > len(PLACE_TABLE):
+def _place_factor(place: np.ndarray) -> np.ndarray:
+    if len(place) and place.max() >= len(PLACE_TABLE):
         return mix(place.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(22)) | U64(1)
-    return PLACE_TABLE.take(place, mode="clip")
+    return PLACE_TABLE[place]
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -56,7 +55,7 @@ def words_and_endings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     place = np.arange(first[0], len(buffer))
     place -= np.repeat(first, np.diff(first, append=len(buffer)))
     values = INSIDE_VALUE.take(buffer[first[0] :])
-    values *= _place_factor(place, lengths.max())
+    values *= PLACE_TABLE.take(place, mode="clip") if lengths.max() <= len(PLACE_TABLE) else _place_factor(place)
     sums = np.add.reduceat(values, first - first[0])
     last, ending = edges[1::2] - 1, np.zeros(len(first), np.int64)
     for back in range(3):
